@@ -32,25 +32,31 @@ def bounds(events: DataFrame) -> DataFrame:
     return events.select("event_id", "run_id", F.inline(both)).where("t_cs is not null and run_id is not null and event_id is not null")
 
 
-def _replay(spark: SparkSession, df: DataFrame, path: str, ts: str, batches: int) -> int:
+def _replay(spark: SparkSession, df: DataFrame, path: str, ts: str, batches: int, no_run: int) -> int:
     """Writes ``df`` as files in event-time order; gives the number of files per micro-batch.
 
-    A last file holds one row far in the future, which drives the watermark past every real row. File
-    sources take files by modification time, so that is set to follow the range order.
+    A row far in the future ends the data and drives the watermark past every real row; what follows it
+    is a batch of its own, in which the last rows come out. File sources take files by modification
+    time, so that is set to follow the range order. The added rows have no nulls (the join's null filter
+    would take them out below the watermark) and a run of their own on each side, so they pair with nothing.
     """
-    df.repartitionByRange(batches, ts).sortWithinPartitions(ts).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-    nulls = [F.lit(END).cast("timestamp").alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
-    spark.range(1, numPartitions=1).select(*nulls).write.mode("append").parquet(f"{path}-end")
+    one = spark.range(1, numPartitions=1)
+    end = one.select(*(F.lit(END).cast("timestamp").alias(f.name) if f.name == ts else F.lit(no_run if f.name == "run_id" else 0).cast(f.dataType).alias(f.name) for f in df.schema))
+    df.unionByName(end).repartitionByRange(batches, ts).sortWithinPartitions(ts).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    names = lambda p: sorted(str(s.getPath()) for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(p)) if s.getPath().getName().endswith(".parquet"))
-    files, last = names(path), names(f"{path}-end")[0]
-    to = f"{path}/zz-end.parquet"
-    fs.rename(jvm.org.apache.hadoop.fs.Path(last), jvm.org.apache.hadoop.fs.Path(to))
-    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}-end"), True)
-    for k, f in enumerate([*files, to]):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), 1_600_000_000_000 + k * 60_000, -1)
-    return -(-len(files) // batches) if files else 1
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(conf)
+    files = sorted(str(s.getPath()) for s in fs.listStatus(at(path)) if s.getPath().getName().endswith(".parquet"))
+    per = -(-len(files) // batches)
+    for k in range(-len(files) % per + 1):
+        end.write.parquet(f"{path}-end")
+        last = next(str(s.getPath()) for s in fs.listStatus(at(f"{path}-end")) if s.getPath().getName().endswith(".parquet"))
+        fs.rename(at(last), at(f"{path}/zz-{k:06d}.parquet"))
+        fs.delete(at(f"{path}-end"), True)
+        files.append(f"{path}/zz-{k:06d}.parquet")
+    for k, f in enumerate(files):
+        fs.setTimes(at(f), 1_600_000_000_000 + k * 60_000, -1)
+    return per
 
 
 def nearest_samples(spark: SparkSession, left: DataFrame, samples: DataFrame, tolerance_cs: int, batches: int = BATCHES) -> DataFrame:
@@ -67,7 +73,7 @@ def nearest_samples(spark: SparkSession, left: DataFrame, samples: DataFrame, to
     clock = F.timestamp_millis(F.col("t_cs") * 10 + CLOCK_MS)
     lt = left.select("event_id", "edge", "run_id", "t_cs").where("event_id is not null and run_id is not null and t_cs is not null").select("*", clock.alias("l_ts"))
     rt = samples.select("sample_id", "run_id", "t_cs").where("sample_id is not null and run_id is not null and t_cs is not null").select("*", clock.alias("r_ts"))
-    per = [_replay(spark, lt, f"{root}/left", "l_ts", batches), _replay(spark, rt, f"{root}/right", "r_ts", batches)]
+    per = [_replay(spark, lt, f"{root}/left", "l_ts", batches, -1), _replay(spark, rt, f"{root}/right", "r_ts", batches, -2)]
     # keep one snapshot's worth of state files instead of a hundred batches of them
     retain = spark.conf.get("spark.sql.streaming.minBatchesToRetain")
     spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
