@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from ..session import remove, scratch
 
-BATCHES = 4  #: micro-batches of a replay
-#: rows of one replay file, at most about; a micro-batch reads whole files
-FILE_ROWS = 4_000_000
+BATCHES = 4  #: micro-batches of a replay, at least
+FILE_ROWS = 4_000_000  #: rows of one replay file, at most
+BATCH_ROWS = 200_000_000  #: rows of one side in a micro-batch, at most about: larger tables take more batches
 BUCKET_CS = 6_000  #: width of a time bucket
 CLOCK_MS = 1_000_000_000_000
 END = "9999-01-01 00:00:00"
@@ -42,12 +42,13 @@ def _replay(spark: SparkSession, df: DataFrame, path: str, ts: str, batches: int
     """
     one = spark.range(1, numPartitions=1)
     end = one.select(*(F.lit(END).cast("timestamp").alias(f.name) if f.name == ts else F.lit(no_run if f.name == "run_id" else 0).cast(f.dataType).alias(f.name) for f in df.schema))
-    df.unionByName(end).repartitionByRange(batches, ts).sortWithinPartitions(ts).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    parts = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.unionByName(end).repartitionByRange(parts, ts).sortWithinPartitions(ts).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path
     fs = at(path).getFileSystem(conf)
     files = sorted(str(s.getPath()) for s in fs.listStatus(at(path)) if s.getPath().getName().endswith(".parquet"))
-    per = -(-len(files) // batches)
+    per = min(-(-len(files) // batches), BATCH_ROWS // FILE_ROWS)
     for k in range(-len(files) % per + 1):
         end.write.parquet(f"{path}-end")
         last = next(str(s.getPath()) for s in fs.listStatus(at(f"{path}-end")) if s.getPath().getName().endswith(".parquet"))
