@@ -93,11 +93,11 @@ def contract(links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     until nothing changes, each step stored, with partial aggregation before every shuffle.
     """
     spark = links.sparkSession
-    links = stored(links.select("a", "b").where("a <> b").distinct(), "links")
-    if links.limit(few + 1).count() <= few:
-        rows = [(int(x), int(r)) for x, r in _roots([(r[0], r[1]) for r in links.collect()]).items()]
-        return spark.createDataFrame(rows, "lab long, root long")
-    edges = links
+    links = links.select("a", "b").where("a <> b").distinct()
+    head = links.limit(few + 1).collect()
+    if len(head) <= few:
+        return spark.createDataFrame([(int(x), int(r)) for x, r in _roots([(r[0], r[1]) for r in head]).items()], "lab long, root long")
+    edges = stored(links, "links")
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -144,6 +144,36 @@ def _neighbours(px: DataFrame, conn: int) -> DataFrame:
     return one.union(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
+def _chase(small: DataFrame, few: int = FEW_LINKS) -> DataFrame:
+    """(comp, to, done) with every pointer moved on along small components, to a large one where there is one.
+
+    Few pointers are followed on the driver; more are doubled as tables, each round stored, until none moves.
+    """
+    spark = small.sparkSession
+    head = small.limit(few + 1).collect()
+    if len(head) <= few:
+        to, done = {r["comp"]: r["to"] for r in head}, {r["comp"]: r["done"] for r in head}
+        rows = []
+        for c in to:
+            seen, k = {c}, c
+            while not done[k] and to[k] in done and to[k] not in seen:
+                k = to[k]
+                seen.add(k)
+            rows.append((c, to[k], done[k]))
+        return spark.createDataFrame(rows, "comp long, to long, done boolean")
+    small = stored(small, "sieve")
+    waiting = small.where("not done").count()
+    for _ in range(64):  # a chain of 2^k components is followed in k rounds; what is left by then runs in a circle
+        nxt = small.select(F.col("comp").alias("to"), F.col("to").alias("to2"), F.col("done").alias("done2"))
+        moved = F.when(F.col("done"), F.col("to")).otherwise(F.coalesce("to2", "to"))
+        small = stored(small.join(nxt, "to", "left").select("comp", moved.alias("to"), (F.col("done") | F.coalesce("done2", F.lit(False))).alias("done")), "sieve")
+        left = small.where("not done").count()
+        if not left or (left == waiting and _ > 8):
+            break
+        waiting = left
+    return small
+
+
 def sieve(px: DataFrame, value: str, least: int, conn: int = 4, chip: int = CHIP) -> DataFrame:
     """(row, col, value, sieved): components under ``least`` pixels take the value of their largest neighbour.
 
@@ -155,15 +185,7 @@ def sieve(px: DataFrame, value: str, least: int, conn: int = 4, chip: int = CHIP
     sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.first(value).alias("v"))
     near = _neighbours(comp, conn).join(sizes.select(F.col("comp").alias("b"), "n"), "b").groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("b"))).alias("m"))
     small = sizes.where(F.col("n") < least).join(near, F.col("comp") == F.col("a")).select("comp", (-F.col("m.b")).alias("to"), (F.col("m.n") >= least).alias("done"))
-    small = stored(small, "sieve")
-    for _ in range(40):  # pointers double their reach each time
-        if small.where("not done").limit(1).isEmpty():
-            break
-        nxt = small.select(F.col("comp").alias("to"), F.col("to").alias("to2"), F.col("done").alias("done2"))
-        step = stored(small.join(nxt, "to", "left").select("comp", F.when(~F.col("done"), F.coalesce("to2", "to")).otherwise(F.col("to")).alias("to"), (F.col("done") | F.coalesce("done2", F.lit(False))).alias("done")), "sieve")
-        if step.where("not done").count() == small.where("not done").count() and _ > 20:
-            break
-        small = step
+    small = _chase(small)
     new = small.where("done").join(sizes.select(F.col("comp").alias("to"), F.col("v").alias("_new")), "to").select("comp", "_new")
     done = comp.join(new, "comp", "left").select("row", "col", F.coalesce("_new", value).cast("int").alias("sieved"))
     return px.select("row", "col", value).join(done, ["row", "col"], "left")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 LAMBDA, ORDER, CLIP = 0.5, 2, 1.0
 
@@ -79,5 +80,4 @@ def smooth(df: DataFrame, series: str, lam: float = LAMBDA, order: int = ORDER)
                     res[i] = [None if np.isnan(x) else x for x in r]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(res, pa.list_(pa.float32()))], names=[*b.schema.names, "smooth"])
 
-    schema = df.schema.add("smooth", "array<float>")
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("smooth", ArrayType(FloatType()))]))

@@ -240,7 +240,7 @@ def find(samples: DataFrame, hosts: DataFrame) -> DataFrame:
     d = d.withColumn("_min", F.floor(F.col("t_cs") / 24_000).cast("long"))
     kept = ["host", "t_cs", *METRICS]
     # the two deliveries have one time, so one shuffle by (run, minutes) serves this, the counting and the numbering
-    d = d.repartition("run_id", "_min").groupBy("run_id", "_min", "sample_id").agg(F.min_by(F.struct(*kept), "ingest_ts").alias("_r")).select("run_id", "_min", "sample_id", "_r.*")
+    d = d.repartition("run_id", "_min").groupBy("run_id", "_min", "sample_id").agg(F.min_by(F.struct(*kept), F.coalesce("ingest_ts", F.lit("9999-12-31").cast("timestamp"))).alias("_r")).select("run_id", "_min", "sample_id", "_r.*")
     d = number_rows(d, ["run_id"], "_min", ["t_cs", "sample_id"]).drop("_min")
     d = d.join(caps, d.host == caps._host, "left").drop("_host", "host")
     inf = F.lit(float("inf"))

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -101,4 +102,4 @@ def predict(df: DataFrame, nodes: Sequence[Node], features: str, rule: str, miss
                     res[i] = c
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(res, pa.int32())], names=[*b.schema.names, "cls"])
 
-    return df.mapInArrow(run, df.schema.add("cls", "int"))
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("cls", IntegerType())]))

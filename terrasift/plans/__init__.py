@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import core_problems
+from . import core_problems, metric_queries, raster_queries
 
-MODULES = (core_problems,)
-FLAGSHIP = "p2_found"
+MODULES = (core_problems, raster_queries, metric_queries)
+FLAGSHIP = "entry"
 
 
 def queries() -> dict:

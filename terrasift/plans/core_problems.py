@@ -109,9 +109,10 @@ def p4_grid(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _payloads(spark: SparkSession, d: str) -> DataFrame:
-    """A payload delivered twice counts once: its earliest delivery."""
-    p = table(spark, d, "config_payloads").select("payload_id", "payload", "received_at")
-    return p.groupBy("payload_id").agg(F.min_by("payload", "received_at").alias("payload"))
+    """A payload delivered twice counts once: its earliest delivery. Rows without a payload_id are left out."""
+    p = table(spark, d, "config_payloads").select("payload_id", "payload", "received_at").where("payload_id is not null")
+    at = F.coalesce("received_at", F.lit("9999-12-31").cast("timestamp"))
+    return p.groupBy("payload_id").agg(F.min_by("payload", F.struct(at, "payload")).alias("payload"))
 
 
 @query("p5_found")
