@@ -260,9 +260,7 @@ def rings(r0: np.ndarray, c0: np.ndarray, r1: np.ndarray, c1: np.ndarray) -> lis
         while not used[k]:
             used[k] = True
             path.append(k)
-            ways = [j for j in start.get((int(r1[k]), int(c1[k])), ()) if not used[j]]
-            if not ways:
-                break
+            ways = start[int(r1[k]), int(c1[k])]  # the way back into the first side closes the ring
             dr, dc = r1[k] - r0[k], c1[k] - c0[k]
             k = max(ways, key=lambda j: dc * (r1[j] - r0[j]) - dr * (c1[j] - c0[j]))  # the turn to the right
         p = np.array([(c0[j], r0[j]) for j in path])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..session import shipped
 from . import core_problems, metric_queries, raster_queries
 
 MODULES = (core_problems, raster_queries, metric_queries)
@@ -9,7 +10,7 @@ FLAGSHIP = "entry"
 
 
 def queries() -> dict:
-    return {k: v for m in MODULES for k, v in m.QUERIES.items()}
+    return {k: shipped(v) for m in MODULES for k, v in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict:

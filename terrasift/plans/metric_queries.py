@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 def _samples(spark: SparkSession, d: str) -> DataFrame:
     """Samples once each, with their time."""
     s = sample_time(table(spark, d, "metric_samples").select("sample_id", "run_id", "elapsed_s", "t_epoch", "stage", "rss_tree_mb", "cpu_tree_pct", "net_recv_mb", "outdir_mb"), table(spark, d, "runs"))
-    return s.where("t_cs is not null").dropDuplicates(["sample_id"]).drop("elapsed_s", "t_epoch")
+    return s.where("t_cs is not null").dropDuplicates(["sample_id"])
 
 
 def _calls(spark: SparkSession, d: str) -> DataFrame:

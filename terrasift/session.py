@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,3 +35,28 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's source to the executors, once per context, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_terrasift_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="terrasift-")) / "terrasift.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, p.relative_to(home.parent))
+    sc.addPyFile(str(target))
+    sc._terrasift_shipped = True
+
+
+def shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with the package sent ahead."""
+
+    @wraps(f)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return f(spark, folder)
+
+    return run

@@ -16,16 +16,15 @@ def epoch_seconds(c: Column) -> Column:
 
 
 def sample_time(samples: DataFrame, runs: DataFrame) -> DataFrame:
-    """Adds ``t_cs``: whole hundredths of a second since the run's t0.
+    """Adds ``t_cs``: whole hundredths of a second since the run's t0; ``elapsed_s`` and ``t_epoch`` go.
 
     ``elapsed_s`` counts where present, else ``t_epoch - t0_epoch``. Rows for which neither is known
-    keep a null ``t_cs``. Only rows without ``elapsed_s`` need the run, so the join's left side is
-    narrow; its strategy is left to the planner (``runs`` grows with the data).
+    keep a null ``t_cs``. Only the few rows without ``elapsed_s`` are joined to their run; the others are
+    read past the join, so they are neither shuffled nor gathered under a null key.
     """
-    t0 = runs.groupBy(F.col("run_id").alias("_run")).agg(F.max("t0_epoch").alias("_t0"))
-    known = F.round(F.col("elapsed_s") * 100).cast("long")
-    return (
-        samples.join(t0, F.when(F.col("elapsed_s").isNull(), F.col("run_id")) == F.col("_run"), "left")
-        .withColumn("t_cs", F.coalesce(known, F.round((epoch_seconds(F.col("t_epoch")) - F.col("_t0")) * 100).cast("long")))
-        .drop("_run", "_t0")
-    )
+    rest = [c for c in samples.columns if c not in ("elapsed_s", "t_epoch")]
+    t0 = runs.where("run_id is not null").groupBy(F.col("run_id").alias("_run")).agg(F.max("t0_epoch").alias("_t0"))
+    direct = samples.where("elapsed_s is not null").select(*rest, F.round(F.col("elapsed_s") * 100).cast("long").alias("t_cs"))
+    late = samples.where("elapsed_s is null").withColumnRenamed("run_id", "_r").join(t0, F.col("_r") == F.col("_run"), "left").withColumnRenamed("_r", "run_id")
+    since = (epoch_seconds(F.col("t_epoch")) - F.col("_t0")) * 100
+    return direct.unionByName(late.select(*rest, F.round(since).cast("long").alias("t_cs")))
