@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..session import scratch
+from .arrow import edges, whole_groups
 
 CHIP = 512  #: rows and columns of a chip
 FEW_LINKS = 100_000  #: links that the driver contracts itself (16 bytes each); more are contracted as tables
@@ -248,26 +249,29 @@ def rings(r0: np.ndarray, c0: np.ndarray, r1: np.ndarray, c1: np.ndarray) -> lis
 
     Where two outlines meet in a corner, the path keeps to its own pixel (4-connectivity).
     """
+    ra, ca, rb, cb = (x.tolist() for x in (r0, c0, r1, c1))
     start: dict[tuple[int, int], list[int]] = {}
-    for i, k in enumerate(zip(r0.tolist(), c0.tolist(), strict=True)):
+    for i, k in enumerate(zip(ra, ca, strict=True)):
         start.setdefault(k, []).append(i)
-    used = np.zeros(len(r0), bool)
+    used = [False] * len(ra)
     out = []
-    for i in range(len(r0)):
+    for i in range(len(ra)):
         if used[i]:
             continue
         path, k = [], i
         while not used[k]:
             used[k] = True
             path.append(k)
-            ways = start[int(r1[k]), int(c1[k])]  # the way back into the first side closes the ring
-            dr, dc = r1[k] - r0[k], c1[k] - c0[k]
-            k = max(ways, key=lambda j: dc * (r1[j] - r0[j]) - dr * (c1[j] - c0[j]))  # the turn to the right
-        p = np.array([(c0[j], r0[j]) for j in path])
-        d = np.roll(p, -1, 0) - p
-        turn = (d != np.roll(d, 1, 0)).any(1)
-        p = p[turn]
-        out.append(np.vstack([p, p[:1]]))
+            ways = start[rb[k], cb[k]]  # the way back into the first side closes the ring
+            if len(ways) == 1:
+                k = ways[0]
+            else:
+                dr, dc = rb[k] - ra[k], cb[k] - ca[k]
+                k = max(ways, key=lambda j: dc * (rb[j] - ra[j]) - dr * (cb[j] - ca[j]))  # the turn to the right
+        n = len(path)
+        went = [(rb[j] - ra[j], cb[j] - ca[j]) for j in path]
+        p = [(ca[j], ra[j]) for x, j in enumerate(path) if went[x] != went[x - 1 if x else n - 1]]
+        out.append(np.array([*p, p[0]], float))
     return out
 
 
@@ -290,12 +294,14 @@ def polygonise(comp: DataFrame, value: str, lon0: float, lat0: float, step: floa
     key = F.concat_ws(":", "comp", "part")
     e = _edges(c.select("row", "col", key.alias("comp"))).withColumnRenamed("comp", "_k")
 
-    def run(t: pa.Table) -> pa.Table:
-        parts = rings(*(t.column(n).to_numpy() for n in ("r0", "c0", "r1", "c1")))
-        geo = [np.stack([lon0 + p[:, 0] * step, lat0 - p[:, 1] * step], 1) for p in parts]
-        return pa.table({"_k": [t.column("_k")[0].as_py()], "wkb": pa.array([wkb_polygon(geo)], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ("_k",)):
+            side = [t.column(n).to_numpy() for n in ("r0", "c0", "r1", "c1")]
+            first, end = edges(t, ("_k",))
+            shapes = [wkb_polygon([np.stack([lon0 + p[:, 0] * step, lat0 - p[:, 1] * step], 1) for p in rings(*(x[a:b] for x in side))]) for a, b in zip(first, end, strict=True)]
+            yield pa.RecordBatch.from_arrays([t.column("_k").combine_chunks().take(pa.array(first)), pa.array(shapes, pa.binary())], names=["_k", "wkb"])
 
-    geo = e.groupBy("_k").applyInArrow(run, "_k string, wkb binary")
+    geo = e.select("_k", "r0", "c0", "r1", "c1").repartition("_k").sortWithinPartitions("_k", "r0", "c0", "r1", "c1").mapInArrow(run, "_k string, wkb binary")
     part = F.split("_k", ":")
     return geo.select(F.get(part, F.lit(0)).cast("long").alias("comp"), F.get(part, F.lit(1)).cast("long").alias("part"), "wkb").join(big.select("comp", F.col("_v").alias(value)), "comp")
 

@@ -90,3 +90,16 @@ def reclaimed(df: DataFrame, group: str, time: str, tie: str, value: str) -> Dat
     """Share of the peak that is gone at the end."""
     g = df.groupBy(group).agg(F.max(value).alias("peak"), F.max_by(value, F.struct(time, tie)).alias("now"))
     return g.withColumn("reclaimed_pct", F.try_divide(100.0 * (F.col("peak") - F.col("now")), F.col("peak")))
+
+
+def tree_counter(df: DataFrame, member: str, time: str, tie: str, value: str, bucket: int = 3_600) -> DataFrame:
+    """Adds ``total``: the sum over all members of their last-seen cumulative counter, as of each row.
+
+    A member that is gone keeps its last value in the sum. Each row changes the sum by its step within its
+    member; the running sum over everything is a prefix scan over time buckets, so no task sees all rows.
+    """
+    step = _lagged(df, member, time, tie, value, bucket).withColumn("_d", F.coalesce(value, F.lit(0.0)) - F.coalesce("_prev", F.lit(0.0))).drop("_prev")
+    step = step.withColumns({"_all": F.lit(0), "_b": F.floor(F.col(time) / bucket).cast("long")})
+    base = carry(step.groupBy("_all", "_b").agg(F.sum("_d").alias("_s")), ["_all"], "_b", {"_in": ("sum", "_s")}).drop("_s")
+    w = Window.partitionBy("_all", "_b").orderBy(time, tie).rowsBetween(Window.unboundedPreceding, 0)
+    return step.join(base, ["_all", "_b"]).withColumn("total", F.col("_in") + F.sum("_d").over(w)).drop("_in", "_d", "_all", "_b")

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import edges, whole_groups
 from .scan import number_rows
 
 METRICS = ("rss_tree_mb", "cpu_tree_pct", "net_recv_mb")
@@ -190,40 +191,23 @@ def flags(values: np.ndarray, limit: np.ndarray, counter: bool, skip: int) -> di
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by (run_id, block, rn); a block may cross batches."""
-    held: list[pa.RecordBatch] = []
-
-    def done(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by (run_id, block, rn)."""
+    keys = ("run_id", "block")
+    for t in whole_groups(batches, keys):
         c = {n: t.column(n).to_numpy(zero_copy_only=False) for n in t.column_names}
-        edges = np.flatnonzero(np.append(True, (np.diff(c["run_id"]) != 0) | (np.diff(c["block"]) != 0)))
-        for a, b in zip(edges, np.append(edges[1:], t.num_rows), strict=True):
+        ids, metric, reason = [], [], []
+        for a, b in zip(*edges(t, keys), strict=True):
             rn, core = c["rn"][a:b], c["rn"][a:b] // BLOCK == c["block"][a]
-            cols: list[list] = [[], [], []]
             for m in METRICS:
-                v = c[m][a:b].astype(float)
                 first = 0 if m == "cpu_tree_pct" and rn[0] == 0 else -1
-                for why, hit in flags(v, c[f"limit_{m}"][a:b].astype(float), COUNTERS[m], first).items():
-                    ids = c["sample_id"][a:b][hit & core]
-                    if len(ids):
-                        cols[0].append(ids)
-                        cols[1] += [m] * len(ids)
-                        cols[2] += [why] * len(ids)
-            if cols[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cols[0]), pa.int64()), pa.array(cols[1]), pa.array(cols[2])], names=["sample_id", "metric", "why"])
-
-    for b in batches:
-        if not b.num_rows:
-            continue
-        held.append(b)
-        t = pa.Table.from_batches(held)
-        run, block = t.column("run_id").to_numpy(), t.column("block").to_numpy()
-        last = np.flatnonzero((run != run[-1]) | (block != block[-1]))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        if cut:
-            yield from done(t.slice(0, cut))
-            held = t.slice(cut).to_batches()
-    if held:
-        yield from done(pa.Table.from_batches(held))
+                for why, hit in flags(c[m][a:b].astype(float), c[f"limit_{m}"][a:b].astype(float), COUNTERS[m], first).items():
+                    found = c["sample_id"][a:b][hit & core]
+                    if len(found):
+                        ids.append(found)
+                        metric += [m] * len(found)
+                        reason += [why] * len(found)
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids), pa.int64()), pa.array(metric), pa.array(reason)], names=["sample_id", "metric", "why"])
 
 
 def find(samples: DataFrame, hosts: DataFrame) -> DataFrame:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from ..session import shipped
-from . import core_problems, metric_queries, raster_queries
+from . import core_problems, metric_queries, raster_queries, table_queries
 
-MODULES = (core_problems, raster_queries, metric_queries)
+MODULES = (core_problems, raster_queries, metric_queries, table_queries)
 FLAGSHIP = "entry"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -12,6 +13,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
@@ -28,26 +31,37 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{what}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/{what}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this process's operators wrote to the shared folder; results not yet stored elsewhere go with it."""
+    while _MADE:
+        remove(spark, _MADE.pop())
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package's source to the executors, once per context, so that their Python workers can import it."""
     sc = spark.sparkContext
     if getattr(sc, "_terrasift_shipped", False):
         return
-    home = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="terrasift-")) / "terrasift.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    home, held = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(home.rglob("*.py")):
             z.write(p, p.relative_to(home.parent))
-    sc.addPyFile(str(target))
+    target = f"{shared_folder(spark)}/terrasift-{uuid.uuid4().hex[:12]}.zip"
+    p = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    sc.addPyFile(target)
     sc._terrasift_shipped = True
 
 
