@@ -46,17 +46,21 @@ def windows(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def season(x: np.ndarray, least: int = 4) -> np.ndarray:
-    """Phase medians of the period with the strongest autocorrelation; zeros where none exceeds 0.6."""
+    """Phase medians of the period with the strongest autocorrelation; zeros where none exceeds 0.6.
+
+    A season needs six cycles, so that a few departures can't make one.
+    """
     n = len(x)
     if n < 6 * least:
         return np.zeros(n)
-    lo, hi = np.percentile(x, [5, 95])
-    c = np.clip(x, lo, hi)
+    mid = np.median(x)
+    far = 10 * 1.4826 * np.median(np.abs(x - mid))
+    c = np.clip(x, mid - far, mid + far)
     c = c - c.mean()
     if not c.any():
         return np.zeros(n)
     f = np.fft.rfft(c, 2 * n)
-    ac = np.fft.irfft(f * np.conj(f))[: n // 3]
+    ac = np.fft.irfft(f * np.conj(f))[: n // 6 + 1]
     ac = ac / ac[0] * (n / (n - np.arange(len(ac))))
     p = least + int(np.argmax(ac[least:])) if len(ac) > least else 0
     if not p or ac[p] < 0.6 or ac[p] <= max(ac[p - 1], ac[min(p + 1, len(ac) - 1)]) - 1e-12:
@@ -129,39 +133,31 @@ def _counter_departures(x: np.ndarray) -> np.ndarray:
     """Readings off a rising course that is resumed: above what follows or below what came before.
 
     The remainder against the rising course between the neighbours is 0 for every reading on it; the
-    scale is the scatter of the steps. Found stretches are taken out and the rest is looked at again, since a
-    departure may hide another one beside it.
+    scale is half the usual step around it, at least half a percent of the level. Short departures are
+    looked for first; what is found is taken out and the rest is looked at again, since a departure may
+    hide another one beside it.
     """
     out = np.zeros(len(x), bool)
     left = np.arange(len(x))
-    for _ in range(4):
+    for k in (1, 2, 3, 1, 2, 3)[: 2 * LONGEST]:
         y = x[left]
         n = len(y)
         if n < 5:
             break
         steps = np.abs(np.diff(y))
         w = min(LOCAL, len(steps) - 1 + len(steps) % 2)
-        off = np.abs(steps - np.median(windows(steps, w), axis=1))
-        scale = np.maximum(1.4826 * np.median(windows(off, w), axis=1), 1e-6)
-        hits, sizes = [], []
-        for k in range(1, LONGEST + 1):
-            i = np.arange(1, n - k)
-            if not len(i):
-                break
-            pre, post = y[i - 1], y[i + k]
-            lo = np.min([y[i + j] for j in range(k)], axis=0)
-            hi = np.max([y[i + j] for j in range(k)], axis=0)
-            d = np.maximum(lo - post, pre - hi)
-            ok = (pre <= post) & (d > 0.02 * np.maximum(np.abs(post), 1e-9))
-            hits += [np.arange(a, a + k) for a in i[ok]]
-            sizes += list((d / scale[i])[ok])
-        if not hits:
-            break
+        i = np.arange(1, n - k)
+        pre, post = y[i - 1], y[i + k]
+        inside = np.lib.stride_tricks.sliding_window_view(y, k)[i]
+        d = np.maximum(inside.min(1) - post, pre - inside.max(1))
+        ok = (pre <= post) & (d > 0.02 * np.abs(post))
+        if not ok.any():
+            continue
+        usual = np.median(windows(steps, w), axis=1)
+        i, size = i[ok], d[ok] / np.maximum(np.maximum(0.5 * usual[i[ok]], 0.005 * np.abs(post[ok])), 1e-6)
         found = np.zeros(n, bool)
-        for g, hit in zip(hits, beyond_limits(np.array(sizes), n), strict=True):
-            found[g] |= hit
-        if not found.any():
-            break
+        for a in i[beyond_limits(size, n)]:
+            found[a : a + k] = True
         out[left[found]] = True
         left = left[~found]
     return out
