@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
@@ -132,6 +132,7 @@ def h_reclaimed(spark, d):
 def h_source_delta(spark, d):
     s = table(spark, d, "metric_samples").where("rss_tree_mb between 0 and 1e6").groupBy("run_id").agg(F.avg("rss_tree_mb").alias("mb"))
     g = s.join(table(spark, d, "runs").select("run_id", "ndvi_source"), "run_id")
-    per = g.cube("ndvi_source").agg(F.avg("mb").alias("mean_mb"), F.grouping("ndvi_source").alias("total"))
-    t, whole = per.where("total = 0").withColumn("k", F.lit(1)), per.where("total = 1").select(F.col("mean_mb").alias("of"), F.lit(1).alias("k"))
-    return t.join(whole, "k").select("ndvi_source", F.round("mean_mb", 3).alias("mean_mb"), F.round(F.col("mean_mb") / F.col("of") - 1, 5).alias("relative"))
+    per = g.groupBy("ndvi_source").agg(F.avg("mb").alias("mean_mb"), F.sum("mb").alias("_s"), F.count("mb").alias("_n"))
+    whole = Window.partitionBy()  # over one row per source
+    of = F.sum("_s").over(whole) / F.sum("_n").over(whole)
+    return per.select("ndvi_source", F.round("mean_mb", 3).alias("mean_mb"), F.round(F.col("mean_mb") / of - 1, 5).alias("relative"))

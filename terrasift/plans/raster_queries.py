@@ -464,8 +464,9 @@ def band_delta(spark, d):
 
 @query("grid_parity", f"""with {X.CLASS_SQL}, {X.STATIC_SQL} select a.h = b.h and a.w = b.w as same_grid, a.h as h_a, b.h as h_b, a.w as w_a, b.w as w_b from (select max("row") + 1 as h, max(col) + 1 as w from class_px) a, (select max("row") + 1 as h, max(col) + 1 as w from static_px) b""")
 def grid_parity(spark, d):
-    dims = lambda x, s: x.agg((F.max("row") + 1).alias(f"h_{s}"), (F.max("col") + 1).alias(f"w_{s}"))
-    j = dims(X.class_map(spark, d), "a").withColumn("k", F.lit(1)).join(dims(X.static_pixels(spark, d), "b").withColumn("k", F.lit(1)), "k")
+    both = X.class_map(spark, d).select(F.lit("a").alias("m"), "row", "col").unionByName(X.static_pixels(spark, d).select(F.lit("b").alias("m"), "row", "col"))
+    of = lambda m, c: (F.max(F.when(F.col("m") == m, F.col(c))) + 1).alias(f"{'h' if c == 'row' else 'w'}_{m}")
+    j = both.agg(of("a", "row"), of("b", "row"), of("a", "col"), of("b", "col"))
     return j.select(((F.col("h_a") == F.col("h_b")) & (F.col("w_a") == F.col("w_b"))).alias("same_grid"), "h_a", "h_b", "w_a", "w_b")
 
 
