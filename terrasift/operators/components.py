@@ -39,20 +39,30 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def label_arrays(row: np.ndarray, col: np.ndarray, val: np.ndarray, conn: int) -> np.ndarray:
-    """Component of each cell as the index of its first cell (in row-major order of the input ids)."""
+def label_arrays(row: np.ndarray, col: np.ndarray, val: np.ndarray, conn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cell ids (row * 2^31 + col) in order, their values, their components, and the pairs of touching components.
+
+    A component is named by its smallest cell id. Repeated cells count once, the smallest value wins.
+    """
     ids = row * _COL + col
-    order = np.argsort(ids, kind="stable")
+    order = np.lexsort((val, ids))
     s, v = ids[order], val[order]
+    if len(s):
+        once = np.append(True, s[1:] != s[:-1])
+        s, v = s[once], v[once]
     n = len(s)
     lab = np.arange(n)
-    ea, eb = [], []
+    ea, eb, ta, tb = [], [], [], []
     for dr, dc in _half(conn):
         t = s + dr * _COL + dc
         k = np.minimum(np.searchsorted(s, t), n - 1)
-        ok = (s[k] == t) & (v[k] == v)
-        ea.append(np.flatnonzero(ok))
-        eb.append(k[ok])
+        there = s[k] == t
+        same = there & (v[k] == v)
+        ea.append(np.flatnonzero(same))
+        eb.append(k[same])
+        other = there & ~same
+        ta.append(np.flatnonzero(other))
+        tb.append(k[other])
     a, b = np.concatenate(ea), np.concatenate(eb)
     while len(a):
         la, lb = lab[a], lab[b]
@@ -66,9 +76,8 @@ def label_arrays(row: np.ndarray, col: np.ndarray, val: np.ndarray, conn: int) -
             if (nxt == lab).all():
                 break
             lab = nxt
-    out = np.empty(n, np.int64)
-    out[order] = s[lab]
-    return out
+    touch = np.unique(np.stack([lab[np.concatenate(ta)], lab[np.concatenate(tb)]], 1), axis=0) if n else np.zeros((0, 2), np.int64)
+    return s, v, s[lab] if n else s, s[touch] if n else touch
 
 
 def _roots(pairs: list[tuple[int, int]]) -> dict[int, int]:
@@ -117,32 +126,42 @@ def contract(links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
 def components(px: DataFrame, value: str, conn: int = 4, chip: int = CHIP, few: int = FEW_LINKS) -> DataFrame:
     """(row, col, value, comp): ``comp`` is the smallest row * 2^31 + col of the component.
 
-    Cells with a null value or position take no part; repeated cells count once; an empty table gives none.
+    Cells with a null value or position take no part; repeated cells count once, with their smallest value;
+    an empty table gives none.
     """
-    at = lambda c: F.floor(F.col(c) / chip).cast("long")
-    p = px.where(F.col(value).isNotNull() & F.col("row").isNotNull() & F.col("col").isNotNull())
-    p = p.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.col(value).cast("long").alias("v")).dropDuplicates(["row", "col"])
+    return _labelled(px, value, conn, chip, few)[0]
 
-    def run(t: pa.Table) -> pa.Table:
-        r, c, v = (t.column(n).to_numpy() for n in ("row", "col", "v"))
-        return pa.table({"row": r, "col": c, "v": v, "lab": label_arrays(r, c, v, conn)})
 
-    local = stored(p.groupBy(at("row").alias("_r"), at("col").alias("_c")).applyInArrow(run, "row long, col long, v long, lab long"), "labels")
-    steps = F.array(*(F.struct(F.lit(dr).cast("long").alias("dr"), F.lit(dc).cast("long").alias("dc")) for dr, dc in _half(conn)))
-    moved = local.select("row", "col", "v", F.col("lab").alias("a"), F.inline(steps)).select((F.col("row") + F.col("dr")).alias("r2"), (F.col("col") + F.col("dc")).alias("c2"), at("row").alias("_r"), at("col").alias("_c"), "v", "a")
-    out = moved.where((F.floor(F.col("r2") / chip) != F.col("_r")) | (F.floor(F.col("c2") / chip) != F.col("_c"))).select(F.col("r2").alias("row"), F.col("c2").alias("col"), "v", "a")
-    edge = local.where((F.col("row") % chip == 0) | (F.col("col") % chip == 0) | (F.col("col") % chip == chip - 1)).select("row", "col", "v", F.col("lab").alias("b"))
-    links = out.join(edge, ["row", "col", "v"]).select("a", "b")
-    up = contract(links, few)
-    return local.join(up, "lab", "left").select("row", "col", F.col("v").alias(value), F.coalesce("root", "lab").alias("comp"))
+def _labelled(px: DataFrame, value: str, conn: int, chip: int, few: int) -> tuple[DataFrame, DataFrame]:
+    """The labelled cells and the distinct pairs (a, b) of touching components, in both directions.
 
+    Cells meet only inside their chip; between chips only the cells along the borders are joined.
+    """
+    at = lambda c: F.floor(F.col(c) / chip).cast("long")
+    p = px.where(F.col(value).isNotNull() & F.col("row").isNotNull() & F.col("col").isNotNull())
+    p = p.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.col(value).cast("long").alias("v"))
 
-def _neighbours(px: DataFrame, conn: int) -> DataFrame:
-    """Distinct pairs (a, b) of touching components, in both directions."""
+    def run(t: pa.Table) -> pa.Table:
+        ids, v, lab, touch = label_arrays(*(t.column(n).to_numpy() for n in ("row", "col", "v")), conn)
+        none = np.zeros(len(touch), np.int64)
+        cells = {"pair": np.zeros(len(ids), bool), "row": ids // _COL, "col": ids % _COL, "v": v, "lab": lab}
+        pairs = {"pair": np.ones(len(touch), bool), "row": touch[:, 0], "col": touch[:, 1], "v": none, "lab": none}
+        return pa.table({n: np.concatenate([cells[n], pairs[n]]) for n in cells})
+
+    both = stored(p.groupBy(at("row").alias("_r"), at("col").alias("_c")).applyInArrow(run, "pair boolean, row long, col long, v long, lab long"), "labels")
+    local = both.where("not pair").drop("pair")
+    m = lambda c: F.pmod(F.col(c), F.lit(chip))
+    rim = local.where((m("row") == 0) | (m("row") == chip - 1) | (m("col") == 0) | (m("col") == chip - 1))
     steps = F.array(*(F.struct(F.lit(dr).cast("long").alias("dr"), F.lit(dc).cast("long").alias("dc")) for dr, dc in _half(conn)))
-    moved = px.select("row", "col", F.col("comp").alias("a"), F.inline(steps)).select((F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"), "a")
-    one = moved.join(px.select("row", "col", F.col("comp").alias("b")), ["row", "col"]).where("a <> b").select("a", "b").distinct()
-    return one.union(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    moved = rim.select("row", "col", F.col("v").alias("va"), F.col("lab").alias("a"), F.inline(steps)).select((F.col("row") + F.col("dr")).alias("r2"), (F.col("col") + F.col("dc")).alias("c2"), at("row").alias("_r"), at("col").alias("_c"), "va", "a")
+    out = moved.where((F.floor(F.col("r2") / chip) != F.col("_r")) | (F.floor(F.col("c2") / chip) != F.col("_c"))).select(F.col("r2").alias("row"), F.col("c2").alias("col"), "va", "a")
+    met = out.join(rim.select("row", "col", F.col("v").alias("vb"), F.col("lab").alias("b")), ["row", "col"])
+    up = contract(met.where("va = vb").select("a", "b"), few)
+    cells = local.join(up, "lab", "left").select("row", "col", F.col("v").alias(value), F.coalesce("root", "lab").alias("comp"))
+    touch = both.where("pair").select(F.col("row").alias("a"), F.col("col").alias("b")).union(met.where("va <> vb").select("a", "b")).distinct()
+    for c in ("a", "b"):
+        touch = touch.join(up.select(F.col("lab").alias(c), F.col("root").alias("_root")), c, "left").withColumn(c, F.coalesce("_root", c)).select("a", "b")
+    return cells, touch.union(touch.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
 def _chase(small: DataFrame, few: int = FEW_LINKS) -> DataFrame:
@@ -182,9 +201,10 @@ def sieve(px: DataFrame, value: str, least: int, conn: int = 4, chip: int = CHIP
     label; a component whose chain ends in no large component keeps its value. Cells without a value take
     no part and come back null.
     """
-    comp = stored(components(px, value, conn, chip), "comp")
+    comp, touch = _labelled(px, value, conn, chip, FEW_LINKS)
+    comp = stored(comp, "comp")
     sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.first(value).alias("v"))
-    near = _neighbours(comp, conn).join(sizes.select(F.col("comp").alias("b"), "n"), "b").groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("b"))).alias("m"))
+    near = touch.join(sizes.select(F.col("comp").alias("b"), "n"), "b").groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("b"))).alias("m"))
     small = sizes.where(F.col("n") < least).join(near, F.col("comp") == F.col("a")).select("comp", (-F.col("m.b")).alias("to"), (F.col("m.n") >= least).alias("done"))
     small = _chase(small)
     new = small.where("done").join(sizes.select(F.col("comp").alias("to"), F.col("v").alias("_new")), "to").select("comp", "_new")
