@@ -94,6 +94,17 @@ def clean_path(path: Column) -> Column:
     return F.regexp_replace(F.trim(path), r"""^[rR]?(["'])(.*)\1$""", "$2")
 
 
+# fixed values: control characters that a pasted backslash path turns into, and the letters they come from
+EATEN = {"\x07": "a", "\x08": "b", "\t": "t", "\n": "n", "\x0b": "v", "\x0c": "f", "\r": "r", "\x00": "0"}
+
+
+def unescaped_path(path: Column) -> Column:
+    """A path whose backslashes were read as escapes, with the backslashes put back."""
+    for char, letter in EATEN.items():
+        path = F.replace(path, F.lit(char), F.lit("\\" + letter))
+    return path
+
+
 def path_spellings(path: Column) -> Column:
     """The path as a Windows, a WSL and a Git-Bash path; itself alone if it is none of them."""
     drive = F.lower(F.regexp_extract(path, r"^(?:/mnt/)?/?([A-Za-z])(?::[\\/]|/)", 1))

@@ -100,3 +100,17 @@ def repaired(rings: DataFrame) -> DataFrame:
     d = pts.withColumn("p", once).withColumn("p", F.when(F.get("p", F.lit(0)) == F.element_at("p", -1), F.col("p")).otherwise(F.concat("p", F.slice("p", 1, 1))))
     d = d.where(F.size("p") >= 4).where(F.abs(S.shoelace(F.transform("p", lambda q: q["x"]), F.transform("p", lambda q: q["y"]))) > 0)
     return d.select("poly", "ring", F.posexplode("p").alias("seq", "q")).select("poly", "ring", "seq", F.col("q.x").alias("x"), F.col("q.y").alias("y"))
+
+
+def pixel_estimate(rings: DataFrame, lon0: float, lat0: float, step: float, zone: int) -> DataFrame:
+    """(poly, n_px): how many pixels an area covers, its projected area over a pixel's, at least 1.
+
+    ``rings`` are in pixel units from (lon0, lat0), rows down; the pixel is the mean one of the area's box.
+    """
+    deg = rings.select("poly", "ring", "seq", (F.lit(lon0) + F.col("x") * step).alias("lon"), (F.lit(lat0) - F.col("y") * step).alias("lat"))
+    x, y = S.utm_xy(F.col("lon"), F.col("lat"), zone)
+    xy = deg.select("poly", "ring", "seq", x.alias("x"), y.alias("y"), "lon", "lat")
+    origin = xy.groupBy("poly").agg(*(f(c).alias(f"_{c}{k}") for c in ("x", "y", "lon", "lat") for f, k in ((F.min, 0), (F.max, 1))))
+    near = xy.join(origin, "poly").select("poly", "ring", "seq", (F.col("x") - F.col("_x0")).alias("x"), (F.col("y") - F.col("_y0")).alias("y"))
+    pixel = step * step * (F.col("_x1") - F.col("_x0")) / (F.col("_lon1") - F.col("_lon0")) * (F.col("_y1") - F.col("_y0")) / (F.col("_lat1") - F.col("_lat0"))
+    return ring_area(near).join(origin, "poly").select("poly", F.greatest(F.lit(1), F.floor(F.col("area") / pixel)).cast("long").alias("n_px"))

@@ -107,3 +107,28 @@ def records(spark, d):
 def h_tree_counter(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", "value", F.unix_timestamp("ts").alias("t"))
     return M.tree_counter(e, "user_id", "t", "event_id", "value").select("event_id", F.round("total", 4).alias("total"))
+
+
+@query("path_forms", r"""with p as (select o_orderkey, o_orderkey % 4 as k, case o_orderkey % 4 when 0 then 'C:\a' || o_custkey || '\b' when 1 then '/mnt/d/x/' || o_custkey when 2 then '/e/y' || o_custkey else 'rel/z' || o_custkey end as s from orders)
+  select o_orderkey, case k when 3 then s else concat_ws('|', s, case k when 1 then null else '/mnt/' || case k when 0 then 'c' else 'e' end || '/' || r end, case k when 2 then null else '/' || case k when 0 then 'c' else 'd' end || '/' || r end, case k when 0 then null else case k when 1 then 'D' else 'E' end || ':\' || replace(r, '/', '\') end) end as forms
+  from (select *, case k when 0 then replace(s[4:], '\', '/') when 1 then s[8:] when 2 then s[4:] end as r from p)""")
+def path_forms(spark, d):
+    """Spellings of a path: as given, then the Windows, WSL and Git-Bash ones it lacks."""
+    from ..functions.scalars import clean_path, path_spellings
+
+    c, k = F.col("o_custkey").cast("string"), F.col("o_orderkey") % 4
+    s = F.when(k == 0, F.concat(F.lit("C:\\a"), c, F.lit("\\b"))).when(k == 1, F.concat(F.lit("/mnt/d/x/"), c)).when(k == 2, F.concat(F.lit("/e/y"), c)).otherwise(F.concat(F.lit("rel/z"), c))
+    t = table(spark, d, "orders").select("o_orderkey", clean_path(F.concat(F.lit(" r'"), s, F.lit("' "))).alias("s"))
+    forms = path_spellings(F.col("s"))
+    rank = lambda f: F.when(f == F.col("s"), 0).when(F.startswith(f, F.lit("/mnt/")), 1).when(F.startswith(f, F.lit("/")), 2).otherwise(3)
+    order = F.transform(F.array_sort(F.transform(forms, lambda f: F.struct(rank(f).alias("r"), f.alias("f")))), lambda x: x["f"])
+    return t.select("o_orderkey", F.array_join(order, "|").alias("forms"))
+
+
+@query("aoi_pixels")
+def aoi_pixels(spark, d):
+    """Pixels that each area of interest covers, by its projected area."""
+    from ..operators.vector import pixel_estimate
+    from .raster_queries import aoi_rings
+
+    return pixel_estimate(aoi_rings(spark), 73.0, 31.0, 1e-4, 43)

@@ -244,6 +244,16 @@ def test_scalars(spark):
     assert value(S.clean_path(F.lit("  r'C:\\x' "))) == "C:\\x"
     assert value(S.gap_mask(F.array(F.lit(1.0), F.lit(None).cast("double"), F.lit(2.0)))) == 5
     assert value(S.landsat_scaled(F.lit(0))) == 0
+    assert value(S.unescaped_path(F.lit("C:\tiles\new\x07oi"))) == "C:\\tiles\\new\\aoi" and value(S.unescaped_path(F.lit("/a/b"))) == "/a/b"
+
+
+def test_pixel_estimate_is_near_the_count(spark):
+    from terrasift.plans.raster_queries import aoi_rings
+
+    area = {r.poly: r.area for r in V.ring_area(aoi_rings(spark)).collect()}
+    for r in V.pixel_estimate(aoi_rings(spark), 73.0, 31.0, 1e-4, 43).collect():
+        # the projected box is up to 4 % larger than the area's own, since the grid is turned against the zone
+        assert 0.95 < r.n_px / area[r.poly] <= 1
 
 
 def test_files(spark, tmp_path):
