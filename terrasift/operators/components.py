@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..session import scratch
+from ..session import stored
 from .arrow import edges, whole_groups
 
 CHIP = 512  #: rows and columns of a chip
@@ -32,13 +32,6 @@ def _half(conn: int) -> tuple[tuple[int, int], ...]:
     return FOUR if conn == 4 else EIGHT
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """The frame written to and read from the shared folder: computed once, safe against lost executors."""
-    path = scratch(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def label_arrays(row: np.ndarray, col: np.ndarray, val: np.ndarray, conn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Cell ids (row * 2^31 + col) in order, their values, their components, and the pairs of touching components.
 

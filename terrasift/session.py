@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
 import tempfile
@@ -19,23 +20,42 @@ _MADE: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a local folder made and used.
+    Only where the session names none and its master is local (tests, a laptop) is a local folder made and
+    used; on a cluster, executors would each write to their own disk, so a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="terrasift-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder."""
+    """A new path in the shared folder, removed by ``clear_scratch`` or when the driver's process ends."""
     path = f"{shared_folder(spark)}/{what}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    if not _MADE:
+        atexit.register(_at_exit, spark)
     _MADE.append(path)
     return path
 
 
+def _at_exit(spark: SparkSession) -> None:
+    try:
+        clear_scratch(spark)
+    except Exception:  # the JVM is gone
+        _MADE.clear()
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """The frame written to and read from the shared folder: computed once, safe against lost executors."""
+    path = scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

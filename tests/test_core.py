@@ -172,6 +172,45 @@ def test_find_over_blocks_and_dirt(spark):
     assert rows(spikes.find(s.limit(0), h)) == []
 
 
+def test_departures_are_judged_by_the_series_own_scatter():
+    rnd = np.random.default_rng(5)
+    x = 1000 * (1 + 0.005 * rnd.standard_normal(300))
+    x[150:152] *= 1.28
+    assert list(np.flatnonzero(spikes.departures(x, False))) == [150, 151]
+    wild = 1000 * (1 + 0.1 * rnd.standard_normal(300))
+    wild[150:152] *= 1.28
+    assert not spikes.departures(wild, False).any()
+    c = 5.5e6 + np.cumsum(np.round(rnd.uniform(0.5, 1.5, 300), 1))
+    c[100] += 90
+    assert list(np.flatnonzero(spikes.departures(c, True))) == [100]
+
+
+def test_a_long_season_is_found_from_all_blocks(spark):
+    n = 8 * 1024
+    rnd = np.random.default_rng(6)
+    t = np.arange(n)
+    busy = [x + k for x in (0, 9, 31, 47, 60, 88, 99, 130, 142, 181, 190, 222, 240, 263, 290, 301, 317, 350, 366, 389) for k in (0, 1)]
+    rss = 1000 * (1 + 0.01 * rnd.standard_normal(n)) * np.where(np.isin(t % 400, busy), 1.6, 1.0)
+    rss[5000] = 3000
+    data = [(int(i), 1, "h", int(50 * i), None, float(rss[i]), 50.0 + float(rnd.standard_normal()), float(i)) for i in t]
+    s = spark.createDataFrame(data, "sample_id long, run_id long, host string, t_cs long, ingest_ts timestamp, rss_tree_mb double, cpu_tree_pct double, net_recv_mb double")
+    h = spark.createDataFrame([("h", 4, 32000.0)], "host string, n_cores int, mem_total_mb double")
+    assert rows(spikes.find(s, h)) == [(5000, "rss_tree_mb", "departure")]
+
+
+def test_constant_stretches_go_through_blocks_and_nulls(spark):
+    n = 4 * 1024 + 100
+    rss = [1000.0 + (i * 7919 % 13) for i in range(n)]
+    for i in range(1020, 3080):  # eight readings in three blocks, nulls between them
+        rss[i] = 7.5 if i in (1020, 1022, 1500, 2047, 2048, 2900, 3075, 3079) else None
+    rss[4090:4096] = [8.5] * 6  # six and one: no stretch
+    rss[4097] = 8.5
+    data = [(i, 1, "h", 50 * i, None, rss[i], 50.0 + i % 3, float(i)) for i in range(n)]
+    s = spark.createDataFrame(data, "sample_id long, run_id long, host string, t_cs long, ingest_ts timestamp, rss_tree_mb double, cpu_tree_pct double, net_recv_mb double")
+    h = spark.createDataFrame([("h", 4, 32000.0)], "host string, n_cores int, mem_total_mb double")
+    assert {r[0] for r in rows(spikes.find(s, h)) if r[2] == "still"} == {1020, 1022, 1500, 2047, 2048, 2900, 3075, 3079}
+
+
 # ---- nearest in time
 
 
