@@ -17,6 +17,7 @@ the length of a constant stretch (counts of readings and places of the last and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from statistics import NormalDist
 
 import numpy as np
@@ -40,6 +41,7 @@ ALPHA = 1e-9
 SIDE = 24  #: readings before and after a departure that its scatter is taken from
 RETURN, MOVED = 1 / 3, 4  #: a course that moved by more than this share of a departure meanwhile asks for so many times the deviate
 GRAIN = 0.001  #: relative precision of a gauge: scatter below it is not told apart from none
+FEW_BLOCKS = 200_000  #: block summaries that the driver walks through itself (about 60 bytes each)
 LAGS = 512  #: longest season of a source in samples
 #: MB/s and MB of the received volume that no run can exceed (a 10 Gbit/s link; 5 TB)
 MAX_RATE, MAX_VOLUME = 1250.0, 5e6
@@ -350,6 +352,47 @@ def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids), pa.int64()), pa.array(metric), pa.array(reason)], names=["sample_id", "metric", "why"])
 
 
+def _outside(sums: DataFrame, few: int = FEW_BLOCKS) -> DataFrame:
+    """(run_id, block, metric, prev, before, after): the last value before each block, and by how many readings
+    the stretch that ends before it and the one that it ends with go on outside.
+
+    Few summaries are walked through on the driver; more are carried by prefix scans over tables.
+    """
+    source = ["run_id", "metric"]
+    what = sums.select(*source, "block", "n", "first", "last", "change_first", "change_last")
+    head = what.limit(few + 1).collect()
+    if len(head) <= few:
+        return sums.sparkSession.createDataFrame(_walk(head), "run_id long, metric int, block long, prev double, before long, after long")
+    c = carry(sums, source, "block", {"_base": ("sum", "n"), "_prev": ("last", "last")})
+    opens = F.col("first").isNotNull() & F.coalesce(F.col("first") != F.col("_prev"), F.lit(True))
+    c = c.withColumns({"_cf": F.when(opens, F.col("_base")).otherwise(F.col("_base") + F.col("change_first")), "_cl": F.coalesce(F.col("_base") + F.col("change_last"), F.when(opens, F.col("_base")))})
+    c = carry(c, source, "block", {"_start": ("last", "_cl"), "_end": ("next", "_cf")})
+    c = c.join(sums.groupBy(*source).agg(F.sum("n").alias("_total")), source)
+    return c.select(*source, "block", F.col("_prev").alias("prev"), (F.col("_base") - F.col("_start")).alias("before"), (F.coalesce("_end", "_total") - F.col("_base") - F.col("n")).alias("after"))
+
+
+def _walk(rows: list) -> list[tuple]:
+    out = []
+    rows = sorted(rows, key=lambda r: (r[0], r[1], r[2]))
+    for _, own in groupby(rows, key=lambda r: (r[0], r[1])):
+        own = list(own)
+        base, prev, start, seen = 0, None, None, []
+        for r in own:
+            opens = r["n"] and r["first"] != prev
+            seen.append([prev, None if start is None else base - start, base + r["n"], base if opens else None if r["change_first"] is None else base + r["change_first"]])
+            if r["change_last"] is not None:
+                start = base + r["change_last"]
+            elif opens:
+                start = base
+            prev = r["last"] if r["n"] else prev
+            base += r["n"]
+        end = base
+        for r, (p, before, upto, change) in zip(reversed(own), reversed(seen), strict=True):
+            out.append((r[0], r[1], r[2], p, before, end - upto))
+            end = end if change is None else change
+    return out
+
+
 def _per_metric(what: Column, name: str) -> list[Column]:
     return [F.first(F.when(F.col("metric") == k, what), True).alias(f"{name}{k}") for k in range(len(METRICS))]
 
@@ -378,17 +421,15 @@ def find(samples: DataFrame, hosts: DataFrame) -> DataFrame:
     own, at = F.floor(F.col("rn") / BLOCK).cast("long"), F.col("rn") % BLOCK
     blocks = F.array_compact(F.array(own, F.when((at < HALO) & (own > 0), own - 1), F.when(at >= BLOCK - HALO, own + 1)))
     keys = ("run_id", "block", "rn")
-    cut = d.select("*", F.explode(blocks).alias("block")).repartition("run_id", "block")
+    # Python works on what is a small shuffle, so its partitions are not to be coalesced by size
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = d.select("*", F.explode(blocks).alias("block")).repartition(parts, "run_id", "block")
     sums = stored(cut.sortWithinPartitions(*keys).mapInArrow(_summaries, _SUMMARY), "blocks")
     source = ["run_id", "metric"]
-    # stretches of one value through blocks: how long they are before and after each block
-    c = carry(sums.drop("ac"), source, "block", {"_base": ("sum", "n"), "_prev": ("last", "last")})
-    opens = F.col("first").isNotNull() & F.coalesce(F.col("first") != F.col("_prev"), F.lit(True))
-    c = c.withColumns({"_cf": F.when(opens, F.col("_base")).otherwise(F.col("_base") + F.col("change_first")), "_cl": F.coalesce(F.col("_base") + F.col("change_last"), F.when(opens, F.col("_base")))})
-    c = carry(c, source, "block", {"_start": ("last", "_cl"), "_end": ("next", "_cf")})
-    total = sums.groupBy(*source).agg(F.sum("n").alias("_total"), F.max("block").alias("_blocks"))
+    c = _outside(sums.drop("ac"))
+    longest = sums.groupBy(*source).agg(F.max("block").alias("_blocks"))
     lag = sums.where("ac is not null").select(*source, F.posexplode("ac").alias("lag", "a")).groupBy(*source, "lag").agg(F.sum("a").alias("a"))
-    acs = lag.groupBy(*source).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "a"))), lambda x: x["a"]).alias("ac")).join(total, source)  # LAGS + 1 elements
+    acs = lag.groupBy(*source).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "a"))), lambda x: x["a"]).alias("ac")).join(longest, source)  # LAGS + 1 elements
     strength = F.transform(F.slice("ac", 5, LAGS), lambda x: x / F.get("ac", F.lit(0)))
     best = F.array_max(F.transform(strength, lambda x, i: F.struct(x.alias("r"), (-i).alias("i"))))
     p = acs.where("get(ac, 0) > 0").select(*source, "ac", "_blocks", best.alias("b")).select(*source, "ac", "_blocks", "b.r", (4 - F.col("b.i")).cast("int").alias("p"))
@@ -399,13 +440,12 @@ def find(samples: DataFrame, hosts: DataFrame) -> DataFrame:
     every = cut.columns
     phased = periods.groupBy("run_id").agg(*_per_metric(F.col("p"), "p")).select("run_id", F.struct(*(f"p{k}" for k in range(len(METRICS)))).alias("head"))
     if periods.isEmpty():
-        seasons = periods.select(*source, F.array().cast("array<double>").alias("season"))
+        c = c.withColumn("season", F.lit(None).cast("array<double>"))
     else:
-        ph = cut.join(phased, "run_id").select(*every, head).repartition("run_id", "block").sortWithinPartitions(*keys).mapInArrow(_phases, "run_id long, metric int, phase long, rest double")
+        ph = cut.join(phased, "run_id").select(*every, head).repartition(parts, "run_id", "block").sortWithinPartitions(*keys).mapInArrow(_phases, "run_id long, metric int, phase long, rest double")
         mid = ph.groupBy(*source, "phase").agg(F.percentile_approx("rest", F.lit(0.5), F.lit(1000)).alias("m"))
         mids = mid.groupBy(*source).agg(F.map_from_entries(F.collect_list(F.struct("phase", "m"))).alias("by"), F.median("m").alias("mm")).join(periods, source)
         seasons = mids.select(*source, F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: F.coalesce(F.element_at("by", i.cast("long")), F.col("mm")) - F.col("mm")).alias("season"))
-    c = c.join(total.select(*source, "_total"), source).join(seasons, source, "left")
-    info = F.struct(F.col("_prev").alias("prev"), (F.col("_base") - F.col("_start")).alias("before"), (F.coalesce("_end", "_total") - F.col("_base") - F.col("n")).alias("after"), "season")
-    heads = c.groupBy("run_id", "block").agg(*_per_metric(info, "h")).select("run_id", "block", F.struct(*(f"h{k}" for k in range(len(METRICS)))).alias("head"))
+        c = c.join(seasons, source, "left")
+    heads = c.groupBy("run_id", "block").agg(*_per_metric(F.struct("prev", "before", "after", "season"), "h")).select("run_id", "block", F.struct(*(f"h{k}" for k in range(len(METRICS)))).alias("head"))
     return cut.join(heads, ["run_id", "block"], "left").select(*every, head).sortWithinPartitions(*keys).mapInArrow(_flags, SCHEMA)

@@ -211,6 +211,18 @@ def test_constant_stretches_go_through_blocks_and_nulls(spark):
     assert {r[0] for r in rows(spikes.find(s, h)) if r[2] == "still"} == {1020, 1022, 1500, 2047, 2048, 2900, 3075, 3079}
 
 
+def test_block_summaries_give_the_same_on_the_driver_and_as_tables(spark):
+    rnd = random.Random(4)
+    data = []
+    for run in (1, 2):
+        for b in range(40):
+            v = [float(rnd.choice([1, 1, 1, 2])) for _ in range(rnd.choice([0, 1, 3]))]
+            ch = [i for i in range(1, len(v)) if v[i] != v[i - 1]]
+            data.append((run, b, 0, len(v), v[0] if v else None, v[-1] if v else None, ch[0] if ch else None, ch[-1] if ch else None))
+    s = spark.createDataFrame(data, "run_id long, block long, metric int, n long, first double, last double, change_first long, change_last long")
+    assert sorted(map(str, spikes._outside(s).collect())) == sorted(map(str, spikes._outside(s, few=3).collect()))
+
+
 # ---- nearest in time
 
 
