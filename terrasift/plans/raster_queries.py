@@ -311,10 +311,6 @@ def flagship(spark, d):
 # ---- components and what follows
 
 
-_COMP_SQL = f"""{X.CLASS_SQL}, px as (select "row" * 2147483648 + col as id, "row", col, cls from class_px where cls is not null),
-  lab(id, lab) using key (id) as (select id, id from px union
-   select n.id, min(l.lab) from lab l join px a on a.id = l.id join px n on n.cls = a.cls and ((n."row" = a."row" and abs(n.col - a.col) = 1) or (n.col = a.col and abs(n."row" - a."row") = 1)) join recurring.lab o on o.id = n.id where l.lab < o.lab group by n.id)"""
-_ADJ = 'px n on n.cls = a.cls and n.id in (a.id - 1, a.id + 1, a.id - 2147483648, a.id + 2147483648)'
 _COMP_SQL = f"""{X.CLASS_SQL}, px as (select "row" * 2147483648 + col as id, "row", col, cls from class_px where cls is not null),
   adj as (select a.id as a, b.id as b from px a join px b on b.id = a.id + 1 and a.cls = b.cls union all select b.id, a.id from px a join px b on b.id = a.id + 1 and a.cls = b.cls
    union all select a.id, b.id from px a join px b on b.id = a.id + 2147483648 and a.cls = b.cls union all select b.id, a.id from px a join px b on b.id = a.id + 2147483648 and a.cls = b.cls),
@@ -332,15 +328,29 @@ def component_sizes(spark, d):
     return c.groupBy("comp").agg(F.count(F.lit(1)).alias("size")).groupBy("size").agg(F.count(F.lit(1)).alias("n_components"))
 
 
-@query("sieve")
+_BESIDE = "(values (1), (-1), (2147483648), (-2147483648)) as t(d)"
+_SIEVE_SQL = f"""{_COMP_SQL},
+  sz as (select lab, count(*) as n, any_value(cls) as v from lab join px using (id) group by lab),
+  nb as (select distinct x.lab as a, y.lab as b from lab x cross join {_BESIDE} join lab y on y.id = x.id + d where x.lab <> y.lab),
+  pt as (select a as comp, arg_max(b, (z.n, -b)) as nxt from nb join sz z on z.lab = b join sz s on s.lab = a where s.n < 20 group by a),
+  ch(comp, cur) as (select comp, nxt from pt union select c.comp, p.nxt from ch c join pt p on p.comp = c.cur),
+  fin as (select comp, v from ch join sz on sz.lab = cur where n >= 20),
+  sv as (select c."row", c.col, c.cls, coalesce(fin.v, c.cls) as sieved, c."row" * 2147483648 + c.col as id from class_px c left join lab on lab.id = c."row" * 2147483648 + c.col left join fin on fin.comp = lab.lab)"""
+
+
+@query("sieve", f'with recursive {_SIEVE_SQL} select "row", col, cls, sieved from sv')
 def sieve(spark, d):
     return C.sieve(X.class_map(spark, d), "cls", 20, 4, 64)
 
 
-@query("sieve_revert")
+@query("sieve_revert", f"""with recursive {_SIEVE_SQL}, flip as (select id from sv where cls <> 1 and sieved = 1), near as (select f.id as a, g.id as b from flip f cross join {_BESIDE} join flip g on g.id = f.id + d),
+  cl(id, lab) using key (id) as (select id, id from flip union select near.b, min(l.lab) from cl l join near on near.a = l.id join recurring.cl o on o.id = near.b where l.lab < o.lab group by near.b),
+  bad as (select distinct cl.lab from cl cross join {_BESIDE} join sv o on o.id = cl.id + d where coalesce(o.cls <> 1, true) and o.id not in (select id from flip))
+  select sv."row", sv.col, sv.cls, case when cl.lab in (select lab from bad) then sv.cls else sv.sieved end as sieved from sv left join cl on cl.id = sv.id""")
 def sieve_revert(spark, d):
-    s = C.sieve(X.class_map(spark, d), "cls", 20, 4, 64)
-    return C.revert(s, "cls", "sieved", [1], 4, 64)
+    chips = C.sieve_chips(C.to_chips(X.class_map(spark, d), ["cls"], 64), "cls", 20, 4, 64)
+    out = C.from_chips(C.revert_chips(chips, "cls", "sieved", [1], 4, 64), ["cls", "sieved"], 64)
+    return out.select("row", "col", F.col("cls").cast("int").alias("cls"), F.col("sieved").cast("int").alias("sieved"))
 
 
 @query("dilation", f"""with {X.CLASS_SQL}, s as (select "row", col from class_px where cls = 4) select distinct "row" + dr as "row", col + dc as col from s, (values (0, 0), (0, 1), (1, 0), (0, -1), (-1, 0)) as t(dr, dc)""")
@@ -349,7 +359,7 @@ def dilation(spark, d):
 
 
 def _comp(spark, d):
-    return C.stored(C.components(X.class_map(spark, d), "cls", 4, 64), "comp")
+    return C.component_chips(C.to_chips(X.class_map(spark, d), ["cls"], 64), "cls", 4, 64)
 
 
 _STATS_SQL = f"""with recursive {_COMP_SQL}, c as (select px."row" as r, px.col as c, px.cls, lab.lab as comp, px.id from px join lab on px.id = lab.id),
@@ -359,18 +369,34 @@ _STATS_SQL = f"""with recursive {_COMP_SQL}, c as (select px."row" as r, px.col
 
 @query("polygon_stats", _STATS_SQL)
 def polygon_stats(spark, d):
-    return C.polygon_stats(_comp(spark, d), "cls", 73.0, 31.0, 1e-4, 43).select("comp", F.col("cls").cast("int").alias("cls"), "n_px", "r_min", "r_max", "c_min", "c_max", "n_sides")
+    return C.polygon_stats_chips(_comp(spark, d), "cls", 73.0, 31.0, 1e-4, 43, 64).select("comp", F.col("cls").cast("int").alias("cls"), "n_px", "r_min", "r_max", "c_min", "c_max", "n_sides")
+
+
+def _utm_sql(cells: str, zone: int) -> str:
+    """Projected corners xy(r, c, x, y) of a table of corners, by the published series."""
+    ep = S._E2 / (1 - S._E2)
+    return f"""u as (select r, c, radians(31.0 - r * 0.0001::double) as phi, radians(73.0 + c * 0.0001::double - {zone * 6 - 183}) * cos(radians(31.0 - r * 0.0001::double)) as a from {cells}),
+  w as (select *, tan(phi) * tan(phi) as t, {ep!r}::double * cos(phi) ** 2 as cc, {S._A} / sqrt(1 - {S._E2!r}::double * sin(phi) ** 2) as n from u),
+  xy as (select r, c, 0.9996::double * n * (a + (1 - t + cc) * a ** 3 / 6 + (5 - 18 * t + t * t + 72 * cc - 58 * {ep!r}::double) * a ** 5 / 120) - 880000 as x,
+   0.9996::double * ({S._A} * ({S._M[0]!r}::double * phi - {S._M[1]!r}::double * sin(2 * phi) + {S._M[2]!r}::double * sin(4 * phi) - {S._M[3]!r}::double * sin(6 * phi)) + n * tan(phi) * (a * a / 2 + (5 - t + 9 * cc + 4 * cc * cc) * a ** 4 / 24
+   + (61 - 58 * t + t * t + 600 * cc - 330 * {ep!r}::double) * a ** 6 / 720)) - 3430000 as y from w)"""
 
 
-@query("area_filter")
+_AREA_SQL = f"""with recursive {_COMP_SQL}, c as (select px."row" as r, px.col as c, px.cls, lab.lab as comp, px.id from px join lab on px.id = lab.id),
+  s as (select c.comp, c.r + a as r0, c.c + b as c0, c.r + e as r1, c.c + f as c1 from c cross join (values (-2147483648, 0, 0, 0, 1), (1, 0, 1, 1, 1), (2147483648, 1, 1, 1, 0), (-1, 1, 0, 0, 0)) as t(d, a, b, e, f) left join c o on o.id = c.id + d and o.comp = c.comp where o.id is null),
+  k as (select distinct r0 as r, c0 as c from s), {_utm_sql('k', 42)}, ar as (select comp, abs(sum(p.x * q.y - q.x * p.y)) / 2 * 0.000247105::double as acres from s join xy p on p.r = r0 and p.c = c0 join xy q on q.r = r1 and q.c = c1 group by comp)
+  select ar.comp, any_value(c.cls) as cls, count(*) as n_px, round(any_value(acres), 3) as acres from ar join c on c.comp = ar.comp where acres >= 0.5 group by ar.comp"""
+
+
+@query("area_filter", _AREA_SQL)
 def area_filter(spark, d):
     """Acres per outline in the fixed zone of reports, of at least half an acre."""
-    return V.acres(C.polygon_stats(_comp(spark, d), "cls", 73.0, 31.0, 1e-4, 42)).select("comp", "cls", "n_px", F.round("acres", 4).alias("acres"))
+    return V.acres(C.polygon_stats_chips(_comp(spark, d), "cls", 73.0, 31.0, 1e-4, 42, 64)).select("comp", F.col("cls").cast("int").alias("cls"), "n_px", F.round("acres", 3).alias("acres"))
 
 
 @query("polygonise")
 def polygonise(spark, d):
-    return C.polygonise(_comp(spark, d), "cls", 73.0, 31.0, 1e-4, 64)
+    return C.polygonise_chips(_comp(spark, d), "cls", 73.0, 31.0, 1e-4, 64)
 
 
 @query("dissolve", f"""with recursive {_COMP_SQL.replace("from class_px where cls is not null", "from (select row, col, 1 as cls from class_px where cls is not null)")} select lab.lab as comp, count(*) as n_px from lab group by 1""")
@@ -522,7 +548,11 @@ def date_contract(spark, d):
     return W.contract(days("cloud < 50", "selected"), days("scl < 6", "trained"), "tile").select("tile", F.size("missing").cast("long").alias("n_missing"), F.size("extra").cast("long").alias("n_extra"), "same_order")
 
 
-@query("greedy_dates", dates=("day",))
+_GREEDY = "select tile, day, added from (select *, row_number() over (partition by tile order by added desc, day) as n from (select tile, day, count(*) as added from {} group by all)) where n = 1"
+
+
+@query("greedy_dates", f"""with {X.SCENES_SQL}, l1 as (select distinct tile, day, scl from scene where cloud < 80), b1 as ({_GREEDY.format("l1")}), l2 as (select l1.* from l1 where not exists (select 1 from l1 g join b1 on b1.tile = g.tile and b1.day = g.day where g.tile = l1.tile and g.scl = l1.scl)),
+  b2 as ({_GREEDY.format("l2")}) select tile, cast(1 as integer) as place, day, added from b1 union all select tile, cast(2 as integer), day, added from b2""", dates=("day",))
 def greedy_dates(spark, d):
     return W.greedy_dates(X.scenes(spark, d).where("cloud < 80"), "tile", "day", "scl")
 

@@ -122,6 +122,7 @@ def picture(df, col):
 @pytest.mark.parametrize("few", [C.FEW_LINKS, 0])
 def test_sieve_and_revert(spark, monkeypatch, few):
     monkeypatch.setattr(C._chase, "__defaults__", (few,))
+    monkeypatch.setattr(C, "FEW_CHIPS", few and C.FEW_CHIPS)
     hole = C.sieve(grid(spark, "11111 11411 11111"), "cls", 3, 4, 2)
     assert picture(hole, "sieved") == "11111 11111 11111"
     assert picture(C.revert(hole, "cls", "sieved", [1], 4, 2), "sieved") == "11111 11111 11111"
@@ -141,15 +142,49 @@ def test_sieve_and_revert(spark, monkeypatch, few):
     assert picture(C.revert(lost, "cls", "sieved", [1], 4), "sieved") == "44444"
 
 
+def brute_sieve(cells, least, conn):
+    comp = brute_components({k: v for k, v in cells.items() if v is not None}, conn)
+    steps = [(0, 1), (1, 0), (0, -1), (-1, 0)] + ([(1, 1), (1, -1), (-1, 1), (-1, -1)] if conn == 8 else [])
+    size, near = {}, {}
+    for p, c in comp.items():
+        size[c] = size.get(c, 0) + 1
+        for d in steps:
+            q = comp.get((p[0] + d[0], p[1] + d[1]))
+            if q is not None and q != c:
+                near.setdefault(c, set()).add(q)
+    out = {}
+    for p, c in comp.items():
+        seen, k = set(), c
+        while size[k] < least and k not in seen and near.get(k):
+            seen.add(k)
+            top = max(size[q] for q in near[k])
+            k = min(q for q in near[k] if size[q] == top)
+        out[p] = cells[k] if size[k] >= least else cells[p]
+    return out
+
+
+@pytest.mark.parametrize(("conn", "chip", "few"), [(4, 5, 1000), (8, 4, 1000), (4, 4, 0), (8, 6, 0), (4, 64, 1000)])
+def test_sieve_against_brute_force(spark, monkeypatch, conn, chip, few):
+    rnd = random.Random(chip)
+    cells = {(r, c): rnd.choice([1, 1, 2, 3, None] if r > 9 else [1, 1, 1, 1, 1, 2, 3]) for r in range(21) for c in range(23)}
+    monkeypatch.setattr(C._chase, "__defaults__", (few,))
+    monkeypatch.setattr(C, "FEW_CHIPS", few)
+    df = spark.createDataFrame([(r, c, v) for (r, c), v in cells.items()], "row int, col int, cls int")
+    got = {(r.row, r.col): r.sieved for r in C.sieve(df, "cls", 5, conn, chip).collect()}
+    want = brute_sieve(cells, 5, conn)
+    assert got == {p: want.get(p) for p in cells}
+
+
 def test_dilation(spark):
     assert rows(C.dilated(spark.createDataFrame([(1, 1)], "row long, col long"), 4)) == sorted([(0, 1), (1, 0), (1, 1), (1, 2), (2, 1)], key=str)
     assert C.dilated(spark.createDataFrame([(1, 1)], "row long, col long"), 8).count() == 9
 
 
-@pytest.mark.parametrize("ring_px", [C.RING_PX, 5])
-def test_polygons_cover_their_pixels(spark, ring_px):
+@pytest.mark.parametrize("few", [C.FEW_LINKS, 0])
+def test_polygons_cover_their_pixels(spark, few):
     comp = C.components(grid(spark, "1111144 1444144 1414144 1444144 1111111 44.4444"), "cls", 4, 3)
-    polys = C.polygonise(comp, "cls", 0.0, 0.0, 1.0, 3, ring_px).collect()
+    polys = C.polygonise(comp, "cls", 0.0, 0.0, 1.0, 3, few).collect()
+    assert len({p.comp for p in polys}) == len(polys)
     stats = {r.comp: r for r in C.polygon_stats(comp, "cls", 73.0, 31.0, 1e-4, 43).collect()}
     area = {}
     for p in polys:
