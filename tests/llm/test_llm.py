@@ -2,6 +2,7 @@
 
 import importlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -86,6 +87,36 @@ def test_leaks_against_brute_force(spark):
     assert clean[1] == "intro end" and clean[2] == "x y" and clean[3] == docs[3] and clean[8] is None and clean[7] == ""
 
 
+@pytest.mark.parametrize(
+    ("n", "change", "leaks"),
+    [(10, [], True), (11, [], True), (12, [6], True), (24, [3, 7, 11, 15, 19, 23], True), (10, [4], True), (9, [], False), (30, [], True)],
+)
+def test_short_and_changed_passages(n, change, leaks):
+    w = [f"p{i}" for i in range(n)]
+    ix = leak.Index([(5, " ".join(w))])
+    t = "say " + " ".join("zz" if i in change else x for i, x in enumerate(w)) + " more words after it"
+    assert bool(leak.leaks_in(ix, [1], [t])) == leaks
+
+
+def test_fragments_are_no_leaks():
+    w = [f"p{i}" for i in range(40)]
+    ix = leak.Index([(5, " ".join(w)), (6, " ".join(w[:14]))])
+    found = lambda t: {(p, c) for _, p, _, _, c in leak.leaks_in(ix, [1], [t])}
+    assert found(" ".join(w[20:34])) == set()  # 14 of 40 words
+    assert found("a " + " ".join(w[20:40])) == {(5, 20)}
+    assert found(" ".join(w[2:12])) == set()  # not the whole of the short one
+
+
+def test_texts_of_one_word_cost_no_more_than_their_length():
+    ix = leak.Index([(5, " ".join(["same"] * 200)), (6, " ".join(f"p{i}" for i in range(40)))])
+    t0 = time.time()
+    rows_ = leak.leaks_in(ix, [1], [" ".join(["same"] * 8000) + " " + " ".join(f"p{i}" for i in range(40))])
+    assert {r[1] for r in rows_} == {5, 6} and len(rows_) == 2 and time.time() - t0 < 5
+    ids, of = text.hashed_words(["a b c d e f g " * 30, "x a b c d e f g"])
+    one = leak.Index([(1, "a b c d e f g a b c d e f g")])
+    assert (one.stretches(ids, of, pairs=7) == one.stretches(ids, of)).all()
+
+
 def test_scan_finds_every_ngram(spark):
     rnd = random.Random(2)
     voc = [f"v{i}" for i in range(12)]
