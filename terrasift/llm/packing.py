@@ -26,7 +26,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"  #: ranks of a public byte-l
 #: the public split pattern of that vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ASCII = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^ \t\n\r\x0b\x0cA-Za-z0-9]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
-MAX_CAPACITY = 1_000_000
+BUCKET_ROWS = 20_000  #: pieces of one size that are ranked in one window, about
 _RANKS = 1 << 40  # ranks of one size, at most
 
 
@@ -91,7 +91,7 @@ def patterns(sizes: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
             k = min(gap // s, left[s] - bin_.get(s, 0))
             bin_[s] = bin_.get(s, 0) + k
             gap -= k * s
-        if gap and (len(bin_) > 1 or max(bin_.values()) > 1):
+        if gap:
             small = min(bin_)
             pair = _best_pair(there, left, bin_, gap + small)
             if pair and sum(pair) > small:
@@ -124,18 +124,20 @@ def _best_pair(there: list[int], left: dict[int, int], used: dict[int, int], gap
     return int(a[i]), int(a[j[i]])
 
 
-def _segments(plan: list[tuple[int, dict[int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Sorted keys size * _RANKS + first rank, first bin and texts per bin of each segment; number of bins."""
+def _segments(plan: list[tuple[int, dict[int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Sizes; sorted keys (number of the size) * _RANKS + first rank, first bin and texts per bin of each segment; number of bins."""
+    sizes = sorted({s for _, b in plan for s in b})
+    number = {s: i for i, s in enumerate(sizes)}
     next_rank: dict[int, int] = {}
     rows, base = [], 0
     for times, bin_ in plan:
         for s, k in bin_.items():
             at = next_rank.get(s, 0)
-            rows.append((s * _RANKS + at, base, k))
+            rows.append((number[s] * _RANKS + at, base, k))
             next_rank[s] = at + times * k
         base += times
     a = np.array(sorted(rows), np.int64).reshape(-1, 3)
-    return a[:, 0], a[:, 1], a[:, 2], base
+    return np.array(sizes, np.int64), a[:, 0], a[:, 1], a[:, 2], base
 
 
 def pack(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -144,13 +146,11 @@ def pack(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> Dat
     A text is split only if it exceeds the capacity: into pieces of the capacity, each alone in its
     container, and a rest that is packed like a text. A null or empty text has no tokens and stands in
     some container. Repeated rows are packed each. Targets with a null name, a null capacity or one below
-    1 are left out, repeated ones count once; capacities above MAX_CAPACITY are refused. An empty table
-    gives no rows. Texts are read whole.
+    1 are left out, repeated ones count once. An empty table gives no rows. Texts are read whole. The driver
+    holds one count per distinct size up to the capacity, which is far fewer than texts.
     """
     spark = docs.sparkSession
     caps = [(r[0], int(r[1])) for r in targets.where("target_name is not null and capacity_tokens > 0").select("target_name", "capacity_tokens").distinct().toLocalIterator()]
-    if any(c > MAX_CAPACITY for _, c in caps):
-        raise ValueError(f"a capacity exceeds {MAX_CAPACITY}")
     schema = "target_name string, container_id long, doc_id long, piece_no long, n_tokens long"
     if not caps:
         return spark.createDataFrame([], schema)
@@ -168,17 +168,19 @@ def pack(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> Dat
         hist[t][s] = k
     plans = spark.sparkContext.broadcast([_segments(patterns(h, c)) for h, (_, c) in zip(hist, caps, strict=True)])
     names = [c for c, _ in caps]
-    ranked = number_rows(pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(1024))), ["target", "size"], "_b", ["doc_id", "piece_no"], "rank")
+    # sizes that very many pieces have (whole capacities above all) are ranked in buckets of bounded size
+    buckets = max(1024, max((k for h in hist for k in h.values()), default=0) // BUCKET_ROWS)
+    ranked = number_rows(pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(buckets))), ["target", "size"], "_b", ["doc_id", "piece_no"], "rank")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             c = {x: b.column(x).to_numpy(zero_copy_only=False) for x in ("target", "size", "rank")}
             out = np.zeros(b.num_rows, np.int64)
-            for t, (keys, base, per, bins) in enumerate(plans.value):
+            for t, (sizes, keys, base, per, bins) in enumerate(plans.value):
                 m = c["target"] == t
                 s, r = c["size"][m], c["rank"][m]
                 if bins:
-                    i = np.maximum(np.searchsorted(keys, s * _RANKS + r, side="right") - 1, 0)
+                    i = np.maximum(np.searchsorted(keys, np.searchsorted(sizes, s) * _RANKS + r, side="right") - 1, 0)
                     out[m] = np.where(s > 0, base[i] + (r - keys[i] % _RANKS) // per[i], r % bins)
             target = pa.array([names[t] for t in c["target"].tolist()], pa.string())
             yield pa.RecordBatch.from_arrays([target, pa.array(out), b.column("doc_id"), b.column("piece_no"), b.column("size")], names=["target_name", "container_id", "doc_id", "piece_no", "n_tokens"])

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from .text import hashed_words
 
-MAX_LABELLED = 3000  #: labelled documents that the model is fitted on, at most
-MAX_TERMS = 50_000  #: terms of the lexicon, at most (16 bytes each in the broadcast)
+#: labelled documents that the model is fitted on, at most; lexicon and source priors come from them alone (24 bytes a
+#: distinct term that at least three of them share, one row a source), so this bounds the model and its broadcast too
+MAX_LABELLED = 3000
 SURE = 0.5  #: lower confidence bound of a term's share of documents with its subject
 BEAM = 4
-SOURCES = 20_000  #: sources with a prior of their own, at most
 
 
 @dataclass
@@ -66,7 +66,6 @@ def learn_lexicon(doc: np.ndarray, term: np.ndarray, y: np.ndarray) -> Lexicon:
     best = np.argmax(low, 1) if len(keys) else np.zeros(0, int)
     sure = low[np.arange(len(keys)), best]
     take = np.flatnonzero(sure >= SURE)
-    take = np.sort(take[np.argsort(-sure[take], kind="stable")[:MAX_TERMS]])
     return Lexicon(keys[take], best[take].astype(np.int64), share[take, best[take]])
 
 
@@ -190,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, max_labelled: int
 
     A document's labels are the subjects that any of its raters gave, if more than half of them gave some
     subject or its raters are even; labels that ``areas`` doesn't have count as none. The driver gets the
-    distinct terms of the sampled documents only. Without labels the model gives no subject to anything.
+    distinct terms of the sampled documents only. However few they are, the model is fitted on them
+    (ridge); without any label it gives no subject to anything.
     """
     subjects = sorted(r[0] for r in areas.select("subject").where("subject is not null").distinct().toLocalIterator())
     S = len(subjects)
@@ -220,10 +220,10 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, max_labelled: int
         for k in np.flatnonzero(of):
             if source[k] is not None:
                 by.setdefault(source[k], []).append(k)
-        return {s: (y[k].sum(0) + 20 * prior) / (len(k) + 20) for s, k in sorted(by.items(), key=lambda i: -len(i[1]))[:SOURCES]}
+        return {s: (y[k].sum(0) + 20 * prior) / (len(k) + 20) for s, k in by.items()}
 
     m.sources = priors(np.ones(n, bool))
-    if n < 20 or not y.any():
+    if not y.any():
         m.mean, m.spread, m.shared, m.offset, m.chain = np.zeros(14), np.ones(14), np.zeros(14), np.full(S, -30.0), np.zeros((S, S))
         return m
     # features of a document come from a lexicon that has not seen it
