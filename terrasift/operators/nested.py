@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 LISTS = ("cases", "results", "records")
 
 
+# fixed values: the byte order mark and the white space of JSON texts and their wrappings
+_BLANK = "\ufeff \t\n\x0b\x0c\r"
+
+
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^[﻿\s]+|\s+$", "")
+    return F.trim(c, F.lit(_BLANK))
 
 
 def _array(c: Column) -> Column:
@@ -33,16 +37,22 @@ def _at(c: Column, key: str) -> Column:
     return F.try_element_at(c, F.lit(key))
 
 
-def _complete(c: Column) -> Column:
-    """The text if it is one complete JSON value, its lines as one array if all of them are; else null."""
+def _held(c: Column) -> Column:
+    """In brackets, since the parser stops after the first value."""
+    return F.concat(F.lit("["), c, F.lit("]"))
 
-    def one(x: Column) -> Column:  # in brackets, since the parser stops after the first value
-        held = F.concat(F.lit("["), x, F.lit("]"))
-        return F.try_parse_json(held).isNotNull() & (F.size(F.from_json(held, "array<string>")) == 1)
 
-    lines = F.filter(F.transform(F.split(c, r"\r?\n"), _strip), lambda x: x != "")
-    by_line = (F.size(lines) > 1) & F.forall(lines, one)
-    return F.when(one(c), c).when(by_line, F.concat(F.lit("["), F.concat_ws(",", lines), F.lit("]")))
+def _by_line(c: Column) -> Column:
+    """The lines of JSON lines as one array; null if one of them isn't a complete JSON value."""
+    lines = F.filter(F.transform(F.split(c, r"\n"), _strip), lambda x: x != "")
+    one = lambda x: F.try_parse_json(_held(x)).isNotNull() & (F.json_array_length(_held(x)) == 1)
+    return F.when((F.size(lines) > 1) & F.forall(lines, one), _held(F.concat_ws(",", lines)))
+
+
+def _complete(c: Column) -> Column:
+    """The text if it is one complete JSON value, its lines as one array if all of them are; else null."""
+    whole = F.try_parse_json(_held(c)).isNotNull() & (F.json_array_length(_held(c)) == 1)
+    return F.when(whole, c).otherwise(_by_line(c))
 
 
 def _unquoted(c: Column) -> Column:
@@ -60,7 +70,10 @@ def parsed(df: DataFrame, payload: str) -> DataFrame:
 
     Null for a payload that is null, empty or not complete JSON or JSON lines.
     """
-    text = df.withColumn("_root", _complete(_strip(F.col(payload))))
+    text = df.withColumn("_root", _strip(F.col(payload)))
+    text = text.withColumn("_json", F.try_parse_json(_held(F.col("_root"))))  # parsed once for both questions: is it JSON, is it one value
+    at = lambda k: F.try_variant_get("_json", f"$[{k}]", "variant")
+    text = text.withColumn("_root", F.when(at(0).isNotNull() & at(1).isNull(), F.col("_root")).otherwise(_by_line(F.col("_root")))).drop("_json")
     text = text.withColumn("_root", _unquoted(F.col("_root")))
     text = text.withColumn("_root", F.when(F.startswith("_root", F.lit("{")), F.coalesce(_strip(_at(_map(F.col("_root")), "report")), F.col("_root"))).otherwise(F.col("_root")))
     text = text.withColumn("_map", _map(F.col("_root")))
