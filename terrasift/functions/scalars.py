@@ -35,9 +35,25 @@ def landsat_scaled(dn: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(65535), F.floor((dn * 0.0000275 - 0.2) * 10000).cast("int")))
 
 
+def _scaled(dn: Column) -> Column:
+    return (dn * 0.0000275 - 0.2) * 10000
+
+
+def _band(v: Column) -> Column:
+    """A 16-bit band: floored at 0 after everything else."""
+    return F.greatest(F.lit(0), F.least(F.lit(65535), F.floor(v).cast("int")))
+
+
 def red_edge(red: Column, nir: Column) -> Column:
-    """The band that the sensor lacks: the mean of its neighbours."""
-    return (red + nir) / 2
+    """The band that the sensor lacks, from the raw values of its neighbours: their mean, floored afterwards."""
+    return _band((_scaled(red) + _scaled(nir)) / 2)
+
+
+def harmonised(blue: Column, green: Column, red: Column, nir: Column) -> Column:
+    """The six bands of the other sensor from four raw ones; the index is null where the sum of its bands isn't positive."""
+    r, n = _scaled(red), _scaled(nir)
+    index = F.when(r + n > 0, _band((n - r) / (r + n) * 10000))
+    return F.struct(landsat_scaled(blue).alias("blue"), landsat_scaled(green).alias("green"), landsat_scaled(red).alias("red"), red_edge(red, nir).alias("red_edge"), landsat_scaled(nir).alias("nir"), index.alias("ndvi"))
 
 
 def clear_scl(scl: Column) -> Column:
@@ -72,9 +88,15 @@ def flat_index(row: Column, col: Column, width: Column | int, valid: Column) ->
 
 
 def gap_mask(series: Column) -> Column:
-    """Bit t is set where value t is present; series of up to 63 values."""
+    """Bit t is set where value t is present; a series of more than 63 values fails the query, see ``gap_pattern``."""
     bits = F.transform(series, lambda v, t: F.when(v.isNotNull(), F.call_function("shiftleft", F.lit(1).cast("long"), t)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a + b)
+    short = F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a + b)
+    return F.when(F.size(series) <= 63, short).otherwise(F.raise_error(F.lit("a mask of bits holds 63 values")).cast("long"))
+
+
+def gap_pattern(series: Column) -> Column:
+    """1 where a value is present, 0 where not, as text of any length."""
+    return F.array_join(F.transform(series, lambda v: F.when(v.isNotNull(), "1").otherwise("0")), "")
 
 
 def date_suffix(dates: Column) -> Column:
@@ -106,11 +128,13 @@ def unescaped_path(path: Column) -> Column:
 
 
 def path_spellings(path: Column) -> Column:
-    """The path as a Windows, a WSL and a Git-Bash path; itself alone if it is none of them."""
-    drive = F.lower(F.regexp_extract(path, r"^(?:/mnt/)?/?([A-Za-z])(?::[\\/]|/)", 1))
-    rest = F.translate(F.regexp_replace(path, r"^(?:/mnt/[A-Za-z]/|/[A-Za-z]/|[A-Za-z]:[\\/])", ""), "\\", "/")
-    alike = F.array(path, F.concat(F.upper(drive), F.lit(":\\"), F.translate(rest, "/", "\\")), F.concat(F.lit("/mnt/"), drive, F.lit("/"), rest), F.concat(F.lit("/"), drive, F.lit("/"), rest))
-    return F.when(path.rlike(r"^(/mnt/[A-Za-z]/|/[A-Za-z]/|[A-Za-z]:[\\/])"), F.array_distinct(alike)).otherwise(F.array(path))
+    """The path as given, then what else it may be called: a Windows path its WSL and Git-Bash forms, a mounted drive its Windows form."""
+    win, mount = r"^([A-Za-z]):[\\/](.*)$", r"^/(?:mnt/)?([A-Za-z])/(.*)$"
+    drive = F.lower(F.regexp_extract(path, win, 1))
+    rest = F.translate(F.regexp_extract(path, win, 2), "\\", "/")
+    back = F.concat(F.upper(F.regexp_extract(path, mount, 1)), F.lit(":\\"), F.translate(F.regexp_extract(path, mount, 2), "/", "\\"))
+    posix = F.array(path, F.concat(F.lit("/mnt/"), drive, F.lit("/"), rest), F.concat(F.lit("/"), drive, F.lit("/"), rest))
+    return F.array_distinct(F.when(path.rlike(win), posix).when(path.rlike(mount), F.array(path, back)).otherwise(F.array(path)))
 
 
 def bucket_of(uri: Column) -> Column:

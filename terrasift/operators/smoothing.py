@@ -37,8 +37,9 @@ def smooth_complete(series: Column, n: int, lam: float = LAMBDA, order: int = OR
 def solve_block(v: np.ndarray, lam: float = LAMBDA, order: int = ORDER) -> np.ndarray:
     """Smooths the rows of a matrix with NaN gaps; rows of one gap pattern share one solve.
 
-    Rows without any value stay NaN. A pattern whose system is singular, such as a single observation,
-    gets the least-squares solution of smallest norm.
+    Rows without any value stay NaN. A pattern whose system is singular gets the least-squares solution of
+    smallest norm: the null space of the penalty are the polynomials below ``order``, so with differences of
+    any order that is so where fewer than ``order`` values are there.
     """
     n = v.shape[1]
     out = np.full(v.shape, np.nan)
@@ -67,17 +68,17 @@ def smooth(df: DataFrame, series: str, lam: float = LAMBDA, order: int = ORDER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = b.column(b.schema.get_field_index(series)).to_pylist()
-            res: list = [None] * len(lists)
-            by: dict[int, list[int]] = {}
-            for i, s in enumerate(lists):
-                if s is not None:
-                    by.setdefault(len(s), []).append(i)
-            for n, at in by.items():
-                v = np.array([[np.nan if x is None else x for x in lists[i]] for i in at], float).reshape(len(at), n)
-                z = solve_block(v, lam, order) if n else v
-                for i, r in zip(at, z, strict=True):
-                    res[i] = [None if np.isnan(x) else x for x in r]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(res, pa.list_(pa.float32()))], names=[*b.schema.names, "smooth"])
+            lists = b.column(b.schema.get_field_index(series))
+            flat = lists.flatten()
+            v = np.where(flat.is_valid().to_numpy(zero_copy_only=False), flat.to_numpy(zero_copy_only=False).astype(float), np.nan)
+            size = np.where(lists.is_valid().to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0)
+            start = np.append(0, np.cumsum(size))
+            out = np.full(len(v), np.nan)
+            for n in np.unique(size[size > 0]):  # mostly one length
+                at = start[:-1][size == n][:, None] + np.arange(n)
+                out[at] = solve_block(v[at], lam, order)
+            values = pa.array(out.astype(np.float32), mask=np.isnan(out))
+            made = pa.ListArray.from_arrays(pa.array(start, pa.int32()), values, mask=pa.array(lists.is_null().to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([*b.columns, made], names=[*b.schema.names, "smooth"])
 
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField("smooth", ArrayType(FloatType()))]))

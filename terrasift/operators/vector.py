@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,12 +95,108 @@ def acres(stats: DataFrame, least: float = 0.5) -> DataFrame:
 
 
 def repaired(rings: DataFrame) -> DataFrame:
-    """Rings without repeated neighbours, closed, and only those with at least three corners and an extent."""
+    """Rings closed, without repeated neighbours, and cut at their self-intersections into simple ones.
+
+    What a ring encloses by the even-odd rule stays: a bow-tie becomes two triangles. Pieces without an
+    extent are left out. A ring is worked on as a whole; its sides are compared block by block.
+    """
     pts = rings.groupBy("poly", "ring").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("p"))
-    once = F.filter("p", lambda q, i: (i == 0) | (q != F.get(F.col("p"), i - 1)))
-    d = pts.withColumn("p", once).withColumn("p", F.when(F.get("p", F.lit(0)) == F.element_at("p", -1), F.col("p")).otherwise(F.concat("p", F.slice("p", 1, 1))))
-    d = d.where(F.size("p") >= 4).where(F.abs(S.shoelace(F.transform("p", lambda q: q["x"]), F.transform("p", lambda q: q["y"]))) > 0)
-    return d.select("poly", "ring", F.posexplode("p").alias("seq", "q")).select("poly", "ring", "seq", F.col("q.x").alias("x"), F.col("q.y").alias("y"))
+    kind = rings.schema["poly"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            poly, ring, seq, x, y = [], [], [], [], []
+            for r in b.to_pylist():
+                for k, q in enumerate(simple_rings([(p["x"], p["y"]) for p in r["p"]])):
+                    n = len(q)
+                    poly += [r["poly"]] * n
+                    ring += [r["ring"] * 1000 + k if k else r["ring"]] * n
+                    seq += range(n)
+                    x += [p[0] for p in q]
+                    y += [p[1] for p in q]
+            if poly:
+                yield pa.RecordBatch.from_arrays([pa.array(poly, b.schema.field("poly").type), pa.array(ring, pa.int64()), pa.array(seq, pa.int64()), pa.array(x, pa.float64()), pa.array(y, pa.float64())], names=["poly", "ring", "seq", "x", "y"])
+
+    return pts.select("poly", "ring", "p").mapInArrow(run, f"poly {kind}, ring long, seq long, x double, y double")
+
+
+def simple_rings(p: list[tuple[float, float]]) -> list[list[tuple[float, float]]]:
+    """A ring as closed rings that don't cross themselves; none if it encloses nothing."""
+    p = [q for i, q in enumerate(p) if not i or q != p[i - 1]]
+    if p and p[0] == p[-1]:
+        p = p[:-1]
+    if len(p) < 3:
+        return []
+    a, n = np.array(p, float), len(p)
+    e = np.roll(a, -1, axis=0) - a
+    cuts: list[list[tuple[float, tuple[float, float]]]] = [[] for _ in p]
+    for i in range(n):
+        j = np.arange(i + 2, n - (i == 0))  # neighbours meet in a corner anyway
+        det = e[i, 0] * e[j, 1] - e[i, 1] * e[j, 0]
+        w = a[j] - a[i]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t, u = (w[:, 0] * e[j, 1] - w[:, 1] * e[j, 0]) / det, (w[:, 0] * e[i, 1] - w[:, 1] * e[i, 0]) / det
+        for k in np.flatnonzero((det != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)):
+            at = (float(a[i, 0] + t[k] * e[i, 0]), float(a[i, 1] + t[k] * e[i, 1]))
+            cuts[i].append((float(t[k]), at))
+            cuts[int(j[k])].append((float(u[k]), at))
+    path: list[tuple[float, float]] = []
+    for q, c in zip(p, cuts, strict=True):
+        for x in [q, *(x for _, x in sorted(c))]:
+            if not path or path[-1] != x:
+                path.append(x)
+    out, seen, held = [], {}, []
+    for x in [*path, path[0]]:  # whenever a point comes back, what lies between is a ring of its own
+        if x in seen:
+            loop = held[seen[x] :]
+            for y in loop[1:]:
+                del seen[y]
+            held = held[: seen[x] + 1]
+            area = sum(u[0] * v[1] - v[0] * u[1] for u, v in zip(loop, loop[1:] + loop[:1], strict=True)) / 2
+            if len(loop) > 2 and area:
+                out.append([*loop, loop[0]])
+        else:
+            seen[x] = len(held)
+            held.append(x)
+    return out
+
+
+def clipped_rings(rings: DataFrame, boxes: DataFrame) -> DataFrame:
+    """(poly, box, ring, seq, x, y): rings cut to boxes (box, x0, y0, x1, y1), pairs made only where their extents meet.
+
+    Extents are compared cell by cell of a coarse grid as wide as the widest box, so the join is by equality.
+    """
+    side = boxes.agg(F.max(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
+    whole = rings.groupBy("poly", "ring").agg(
+        *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x", "y")), F.transform(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("pts")
+    )
+    if side is None:
+        return rings.select("poly", F.lit(0).cast("long").alias("box"), F.col("ring").cast("long").alias("ring"), F.col("seq").cast("long").alias("seq"), "x", "y").limit(0)
+    cell = lambda c: F.floor(c / side).cast("long")
+    span = lambda a, b: F.explode(F.sequence(cell(a), cell(b)))
+    cells = lambda df, x0, x1, y0, y1: df.select("*", span(F.col(x0), F.col(x1)).alias("_i")).select("*", span(F.col(y0), F.col(y1)).alias("_j"))
+    j = cells(whole, "min_x", "max_x", "min_y", "max_y").join(cells(boxes.select(F.col("box").cast("long").alias("box"), "x0", "y0", "x1", "y1"), "x0", "x1", "y0", "y1"), ["_i", "_j"])
+    j = j.where("min_x <= x1 and max_x >= x0 and min_y <= y1 and max_y >= y0").drop("_i", "_j").dropDuplicates(["poly", "ring", "box"]).select("poly", "ring", "box", "pts", "x0", "y0", "x1", "y1")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                p = clip_ring([(q["x"], q["y"]) for q in r["pts"][:-1]], r["x0"], r["y0"], r["x1"], r["y1"])
+                if len(p) > 2:
+                    out += [(r["poly"], r["box"], r["ring"], k, x, y) for k, (x, y) in enumerate([*p, p[0]])]
+            if out:
+                types = [b.schema.field("poly").type, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["poly", "box", "ring", "seq", "x", "y"])
+
+    return j.mapInArrow(run, f"poly {rings.schema['poly'].dataType.simpleString()}, box long, ring long, seq long, x double, y double")
+
+
+def chips_near(chips: DataFrame, rings: DataFrame, chip: int) -> DataFrame:
+    """The chips that the extent of some ring meets: what lies elsewhere is never opened."""
+    box = rings.groupBy("poly").agg(*(F.floor(f(c) / chip).cast("long").alias(f"_{n}") for f, c, n in ((F.min, "y", "r0"), (F.max, "y", "r1"), (F.min, "x", "c0"), (F.max, "x", "c1"))))
+    want = box.select(F.explode(F.sequence("_r0", "_r1")).alias("chip_r"), "_c0", "_c1").select("chip_r", F.explode(F.sequence("_c0", "_c1")).alias("chip_c")).distinct()
+    return chips.join(want, ["chip_r", "chip_c"], "left_semi")
 
 
 def pixel_estimate(rings: DataFrame, lon0: float, lat0: float, step: float, zone: int) -> DataFrame:

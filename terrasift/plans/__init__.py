@@ -6,7 +6,7 @@ from ..session import shipped
 from . import core_problems, metric_queries, raster_queries, table_queries
 
 MODULES = (core_problems, raster_queries, metric_queries, table_queries)
-FLAGSHIP = "entry"
+FLAGSHIP = "pipeline"
 
 
 def queries() -> dict:

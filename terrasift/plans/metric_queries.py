@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..operators import metrics as M
+from ..sources import rasters as X
 from ..sources.tables import sample_time, table
 from .core_problems import TIMED
 
@@ -127,12 +129,11 @@ def h_reclaimed(spark, d):
     return M.reclaimed(_samples(spark, d).where("outdir_mb is not null"), "run_id", "t_cs", "sample_id", "outdir_mb").withColumn("reclaimed_pct", F.round("reclaimed_pct", 6))
 
 
-@query("h_source_delta", """with g as (select run_id, r.ndvi_source, avg(m.rss_tree_mb) as mb from metric_samples m join runs r using (run_id) where m.rss_tree_mb between 0 and 1e6 group by all), a as (select ndvi_source, avg(mb) as mean_mb from g group by 1)
-  select ndvi_source, round(mean_mb, 3) as mean_mb, round(mean_mb / (select avg(mb) from g) - 1, 5) as relative from a""")
+@query("h_source_delta", f"""with {X.SERIES_SQL}, o as (select 'red' as band, t % 2 as s, red as v from px_obs union all select 'nir', t % 2, nir from px_obs union all select 'ndvi', t % 2, v from ndvi_obs),
+  g as (select band, avg(v) filter (where s = 0) as a, avg(v) filter (where s = 1) as b from o group by band) select band, round(a, 6) as mean_a, round(b, 6) as mean_b, round((b - a) / a, 6) as relative from g""")
 def h_source_delta(spark, d):
-    s = table(spark, d, "metric_samples").where("rss_tree_mb between 0 and 1e6").groupBy("run_id").agg(F.avg("rss_tree_mb").alias("mb"))
-    g = s.join(table(spark, d, "runs").select("run_id", "ndvi_source"), "run_id")
-    per = g.groupBy("ndvi_source").agg(F.avg("mb").alias("mean_mb"), F.sum("mb").alias("_s"), F.count("mb").alias("_n"))
-    whole = Window.partitionBy()  # over one row per source
-    of = F.sum("_s").over(whole) / F.sum("_n").over(whole)
-    return per.select("ndvi_source", F.round("mean_mb", 3).alias("mean_mb"), F.round(F.col("mean_mb") / of - 1, 5).alias("relative"))
+    """Band and index means of two sources (here even and odd dates) and their relative difference; missing values don't count."""
+    o = X.pixel_obs(spark, d).withColumn("ndvi", S.ndvi(F.col("red"), F.col("nir")))
+    bands = F.array(*(F.struct(F.lit(c).alias("band"), F.col(c).alias("v")) for c in ("red", "nir", "ndvi")))
+    g = o.select(F.col("t") % 2, F.inline(bands)).toDF("s", "band", "v").groupBy("band").agg(F.avg(F.when(F.col("s") == 0, F.col("v"))).alias("a"), F.avg(F.when(F.col("s") == 1, F.col("v"))).alias("b"))
+    return g.select("band", F.round("a", 6).alias("mean_a"), F.round("b", 6).alias("mean_b"), F.round((F.col("b") - F.col("a")) / F.col("a"), 6).alias("relative"))

@@ -17,6 +17,7 @@ from ..operators import trees as T
 from ..operators import vector as V
 from ..sources import rasters as X
 from ..sources.tables import table
+from . import stages as G
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,12 +88,13 @@ def flat_index(spark, d):
     return X.class_map(spark, d).select("row", "col", S.flat_index(F.col("row"), F.col("col"), 100, F.col("cls").isNotNull()).alias("idx"))
 
 
-@query("harmonise_l8", """select l_orderkey, l_linenumber, l_partkey, l_suppkey, a as red, b as nir, (a + b) / 2 as red_edge from
-  (select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(least(65535, greatest(0, floor((l_partkey * 3 % 65536 * 0.0000275::double - 0.2::double) * 10000))) as integer) as a,
-   cast(least(65535, greatest(0, floor((cast(floor(l_extendedprice) as bigint) % 65536 * 0.0000275::double - 0.2::double) * 10000))) as integer) as b from lineitem)""")
+@query("harmonise_l8", """with d as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_suppkey * 7 % 65536 * 0.0000275::double - 0.2::double) * 10000 as b2, (l_suppkey * 31 % 65536 * 0.0000275::double - 0.2::double) * 10000 as b3,
+   (l_partkey * 3 % 65536 * 0.0000275::double - 0.2::double) * 10000 as b4, (cast(floor(l_extendedprice) as bigint) % 65536 * 0.0000275::double - 0.2::double) * 10000 as b8 from lineitem),
+  e as (select *, (b4 + b8) / 2 as b5, case when b4 + b8 > 0 then (b8 - b4) / (b4 + b8) * 10000 end as nd from d)
+  select l_orderkey, l_linenumber, l_partkey, l_suppkey, """ + ", ".join(f"cast(least(65535, greatest(0, floor({c}))) as integer) as {n}" for c, n in (("b2", "blue"), ("b3", "green"), ("b4", "red"), ("b5", "red_edge"), ("b8", "nir"))) + ", case when nd is not null then cast(least(65535, greatest(0, floor(nd))) as integer) end as ndvi from e")
 def harmonise_l8(spark, d):
-    red, nir = S.landsat_scaled(F.col("l_partkey") * 3 % 65536), S.landsat_scaled(F.floor("l_extendedprice") % 65536)
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", red.alias("red"), nir.alias("nir")).withColumn("red_edge", S.red_edge(F.col("red"), F.col("nir")))
+    bands = S.harmonised(F.col("l_suppkey") * 7 % 65536, F.col("l_suppkey") * 31 % 65536, F.col("l_partkey") * 3 % 65536, F.floor("l_extendedprice") % 65536)
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", bands.alias("b")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "b.*")
 
 
 @query("names", """select o_orderkey, 'composite_' || (o_custkey % 50) || '_' || year(o_orderdate) || '_' || strftime(o_orderdate, '%d_%b_%Y') || '_and_' || strftime(o_orderdate + interval 10 day, '%d_%b_%Y') as name from orders""")
@@ -235,25 +237,25 @@ def _trees(features: int, rule: str, size: int = 3) -> list[T.Node]:
     out = []
     for t in range(size):
         f, g = (3 * t) % features, (5 * t + 2) % features
-        a, b, c = (0.15 + 0.02 * t, 0.16, 0.18) if rule == "vote" else (2000.0 + 10 * t, 1990.0, 2010.0)
-        leaf = (1.0, 4.0, 4.0, 1.0) if rule == "vote" else (0.6, -0.4, 0.3, -0.5)
+        a, b, c = (0.15 + 0.02 * t, 0.16, 0.18) if rule == "mean" else (2000.0 + 10 * t, 1990.0, 2010.0)
+        leaf = ((0.9, 0.1), (0.4, 0.6), (0.45, 0.55), (0.8, 0.2)) if rule == "mean" else (0.6, -0.4, 0.3, -0.5)
         out += [T.Node(t, 0, f, a, 1, 2, 0), T.Node(t, 1, g, b, 3, 4, 0), T.Node(t, 2, g, c, 5, 6, 0), *(T.Node(t, 3 + k, -1, 0, 0, 0, leaf[k]) for k in range(4))]
     return out
 
 
-def _tree_sql(nodes: list[T.Node], x: str, rule: str) -> list[str]:
+def _tree_sql(nodes: list[T.Node], x: str, rule: str, out: int | None = None) -> list[str]:
     by = {(n.tree, n.node): n for n in nodes}
-    op = "<=" if rule == "vote" else "<"
+    op = "<" if rule == "sum" else "<="
 
     def go(t: int, k: int) -> str:
         n = by[t, k]
-        return f"{n.leaf}::double" if n.feature < 0 else f"(case when {x}[{n.feature + 1}] {op} {n.threshold}::double then {go(t, n.left)} else {go(t, n.right)} end)"
+        return f"{n.leaf if out is None else n.leaf[out]}::double" if n.feature < 0 else f"(case when {x}[{n.feature + 1}] {op} {n.threshold}::double then {go(t, n.left)} else {go(t, n.right)} end)"
 
     return [go(t, 0) for t in sorted({n.tree for n in nodes})]
 
 
-_RF = _trees(32, "vote")
-_RF_SQL = f"""rf as (select "row", col, case when ({" + ".join(f"case when {x} = 4.0 then 1 else 0 end" for x in _tree_sql(_RF, "f", "vote"))}) >= 2 then 4 else 1 end as cls
+_RF = _trees(32, "mean")
+_RF_SQL = f"""rf as (select "row", col, case when {" + ".join(_tree_sql(_RF, "f", "mean", 1))} > {" + ".join(_tree_sql(_RF, "f", "mean", 0))} then 4 else 1 end as cls
   from (select "row", col, list(coalesce(v, 0.0::double) order by t) as f, count(case when v <> 0 and {_INSIDE} then 1 end) as n from ndvi_obs group by all) where n > 0)"""
 
 
@@ -261,7 +263,7 @@ def _rf(spark, d):
     s = X.ndvi_series(spark, d)
     signal = F.exists(F.arrays_zip("dates", "v"), lambda p: p["dates"].between("2025-03-01", "2025-07-15") & p["v"].isNotNull() & (p["v"] != 0))
     f = F.transform("v", lambda x: F.coalesce(x, F.lit(0.0)))
-    return s.where(signal).select("row", "col", T.expression(_RF, f, "vote").alias("cls"))
+    return s.where(signal).select("row", "col", T.expression(_RF, f, "mean", (1, 4)).alias("cls"))
 
 
 @query("rf_predict", f'with {X.SERIES_SQL}, {_RF_SQL} select "row", col, cls from rf')
@@ -269,6 +271,31 @@ def rf_predict(spark, d):
     return _rf(spark, d)
 
 
+@query("rf_predict_arrow", f'with {X.SERIES_SQL}, {_RF_SQL} select "row", col, cls from rf')
+def rf_predict_arrow(spark, d):
+    """The same forest through the scorer for large ones."""
+    s = X.ndvi_series(spark, d)
+    signal = F.exists(F.arrays_zip("dates", "v"), lambda p: p["dates"].between("2025-03-01", "2025-07-15") & p["v"].isNotNull() & (p["v"] != 0))
+    return T.predict(s.where(signal).select("row", "col", "v"), _RF, "v", "mean", classes=(1, 4)).select("row", "col", "cls")
+
+
+def grown(features: int, trees: int, depth: int, low: float, high: float) -> T.Ensemble:
+    """A made-up forest of full trees: splits and class shares follow from the numbers of tree and node."""
+    nodes = []
+    for t in range(trees):
+        for k in range(2 ** (depth + 1) - 1):
+            h = (t * 2654435761 + k * 40503) % 10007 / 10007
+            leaf = k >= 2**depth - 1
+            nodes.append(T.Node(t, k, -1, 0.0, 0, 0, (h, 1 - h)) if leaf else T.Node(t, k, (7 * t + 13 * k) % features, low + h * (high - low), 2 * k + 1, 2 * k + 2, 0.0))
+    return T.ensemble(nodes, "mean", (1, 4))
+
+
+@query("rf_large")
+def rf_large(spark, d):
+    """A forest of 200 trees of depth eight over every series; tests hold the scorer against a descent node by node."""
+    return T.predict(X.ndvi_series(spark, d).select("row", "col", "v"), grown(32, 200, 8, 0.1, 0.25), "v").select("row", "col", "cls")
+
+
 _XGB = _trees(6, "sum")
 
 
@@ -405,6 +432,29 @@ def dissolve(spark, d):
     return C.components(one, "cls", 4, 64).groupBy("comp").agg(F.count(F.lit(1)).alias("n_px"))
 
 
+_MODEL = grown(17, 50, 6, 0.1, 0.25)
+
+
+def _pipeline(spark, d):
+    s = X.pixel_series(spark, d)
+    px = G.classified(s, _MODEL, "2025-03-01", "2025-07-15").withColumn("tile", F.floor(F.col("row") / 20))
+    return G.cleaned(G.mosaicked(px, "tile"), [1], 4, 4, 64)
+
+
+@query("pipeline")
+def pipeline(spark, d):
+    """All stages: index, smoothing, window, forest, mosaic, sieve, revert, outlines, second map, retention."""
+    chips = _pipeline(spark, d)
+    layer = G.outlined(chips, [1], 1, 73.0, 31.0, 1e-3, 42, 0.5, 64)
+    return G.assessed(layer, chips, X.class_map(spark, d), [1], 64).withColumn("acres", F.round("acres", 4))
+
+
+@query("pipeline_layer")
+def pipeline_layer(spark, d):
+    """The result layer of the stages."""
+    return G.outlined(_pipeline(spark, d), [1], 3015, 73.0, 31.0, 1e-3, 42, 0.5, 64)
+
+
 # ---- vectors
 
 

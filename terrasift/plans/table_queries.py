@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-_PRESET_SQL = "p(crop, label, y0, md0, y1, md1, step) as (values " + ", ".join(f"('{c}', {lab}, {a}, '{m}', {b}, '{n}', {s})" for c, _, lab, a, m, b, n, s in presets.PRESETS) + ")"
+_PRESET_SQL = "p(crop, label, y0, md0, y1, md1, step) as (values " + ", ".join(f"('{c}', {lab}, {a}, '{m}', {b}, '{n}', {s})" for c, _, _, _, _, lab, a, m, b, n, _, _, _, _, s, _, _ in presets.PRESETS) + ")"
 
 
 def _md_sql(y: str, md: str) -> str:
@@ -41,7 +41,7 @@ def preset_lookup(spark, d):
     return r.select("run_id", *(F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("series_start", "series_end")), "step", "label")
 
 
-_WINDOW_SQL = "w(crop, rank, md0, md1) as (values " + ", ".join(f"('{c}', {k}, '{a}', '{b}')" for c, k, a, b in presets.WINDOWS) + ")"
+_WINDOW_SQL = "w(crop, rank, md0, md1) as (values " + ", ".join(f"('{c}', {k}, '{a}', '{b}')" for c, r, k, a, b in presets.WINDOWS if r is None) + ")"
 
 
 @query("preset_windows", f"""with {_WINDOW_SQL}, r as (select run_id, crop, try_cast(crop_year as integer) as y from runs)
@@ -110,19 +110,23 @@ def h_tree_counter(spark, d):
 
 
 @query("path_forms", r"""with p as (select o_orderkey, o_orderkey % 4 as k, case o_orderkey % 4 when 0 then 'C:\a' || o_custkey || '\b' when 1 then '/mnt/d/x/' || o_custkey when 2 then '/e/y' || o_custkey else 'rel/z' || o_custkey end as s from orders)
-  select o_orderkey, case k when 3 then s else concat_ws('|', s, case k when 1 then null else '/mnt/' || case k when 0 then 'c' else 'e' end || '/' || r end, case k when 2 then null else '/' || case k when 0 then 'c' else 'd' end || '/' || r end, case k when 0 then null else case k when 1 then 'D' else 'E' end || ':\' || replace(r, '/', '\') end) end as forms
-  from (select *, case k when 0 then replace(s[4:], '\', '/') when 1 then s[8:] when 2 then s[4:] end as r from p)""")
+  select o_orderkey, case k when 0 then s || '|/mnt/c/' || replace(s[4:], '\', '/') || '|/c/' || replace(s[4:], '\', '/') when 1 then s || '|D:\' || replace(s[8:], '/', '\') when 2 then s || '|E:\' || replace(s[4:], '/', '\') else s end as forms from p""")
 def path_forms(spark, d):
-    """Spellings of a path: as given, then the Windows, WSL and Git-Bash ones it lacks."""
+    """Spellings of a path: as given, then a Windows path's WSL and Git-Bash forms or a mounted drive's Windows form."""
     from ..functions.scalars import clean_path, path_spellings
 
     c, k = F.col("o_custkey").cast("string"), F.col("o_orderkey") % 4
     s = F.when(k == 0, F.concat(F.lit("C:\\a"), c, F.lit("\\b"))).when(k == 1, F.concat(F.lit("/mnt/d/x/"), c)).when(k == 2, F.concat(F.lit("/e/y"), c)).otherwise(F.concat(F.lit("rel/z"), c))
     t = table(spark, d, "orders").select("o_orderkey", clean_path(F.concat(F.lit(" r'"), s, F.lit("' "))).alias("s"))
-    forms = path_spellings(F.col("s"))
-    rank = lambda f: F.when(f == F.col("s"), 0).when(F.startswith(f, F.lit("/mnt/")), 1).when(F.startswith(f, F.lit("/")), 2).otherwise(3)
-    order = F.transform(F.array_sort(F.transform(forms, lambda f: F.struct(rank(f).alias("r"), f.alias("f")))), lambda x: x["f"])
-    return t.select("o_orderkey", F.array_join(order, "|").alias("forms"))
+    return t.select("o_orderkey", F.array_join(path_spellings(F.col("s")), "|").alias("forms"))
+
+
+@query("path_repair", r"""select o_orderkey, 'C:\temp\new' || o_custkey as fixed from orders""")
+def path_repair(spark, d):
+    """Backslashes that were read as escapes, put back."""
+    from ..functions.scalars import unescaped_path
+
+    return table(spark, d, "orders").select("o_orderkey", unescaped_path(F.concat(F.lit("C:\temp\new"), F.col("o_custkey").cast("string"))).alias("fixed"))
 
 
 @query("aoi_pixels")

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from pathlib import Path
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +38,60 @@ def wkb_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).parquet(path)
 
 
-def other_vector_format(path: str) -> None:
-    raise NotImplementedError(f"{path}: only GeoJSON and Parquet with WKB are read; convert other formats first")
+def wkb_rings(layer: DataFrame, key: str, geometry: str = "geometry") -> DataFrame:
+    """(poly, ring, seq, x, y) of the polygons and multipolygons of a layer with WKB; other kinds and nulls are dropped."""
+    from ..operators.components import wkb_rings as read
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if w is None or int.from_bytes(w[1:5], "little" if w[0] else "big") not in (3, 6):
+                    continue
+                for r, q in enumerate(read(w)):
+                    n = len(q)
+                    yield pa.RecordBatch.from_arrays([pa.array([k] * n, b.schema.field(0).type), pa.array([r] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(q[:, 0]), pa.array(q[:, 1])], names=["poly", "ring", "seq", "x", "y"])
+
+    return layer.select(F.col(key).alias("poly"), geometry).mapInArrow(run, f"poly {layer.schema[key].dataType.simpleString()}, ring long, seq long, x double, y double")
+
+
+def areas(spark: SparkSession, path: str) -> DataFrame:
+    """Rings of an area of interest from GeoJSON or Parquet with WKB; an area without a polygon is an error."""
+    kind = path.rsplit(".", 1)[-1].lower()
+    if kind in ("geojson", "json"):
+        rings = geojson_rings(spark, path)
+    elif kind == "parquet":
+        rings = wkb_rings(spark.read.parquet(path).withColumn("_k", F.monotonically_increasing_id()), "_k")
+    else:
+        raise NotImplementedError(f"{path}: only GeoJSON and Parquet with WKB are read; convert other formats first")
+    if rings.isEmpty():
+        raise ValueError(f"{path} has no polygon")
+    return rings
+
+
+def write_chips(chips: DataFrame, path: str, band: int = 64) -> None:
+    """Chips as Parquet, in folders of ``band`` rows of chips, so that readers open only those they need."""
+    chips.withColumn("chip_band", F.floor(F.col("chip_r") / band).cast("long")).write.mode("overwrite").partitionBy("chip_band").parquet(path)
+
+
+def read_chips(spark: SparkSession, path: str, rows: tuple[int, int] | None = None, band: int = 64) -> DataFrame:
+    """Chips written so; ``rows``: first and last row of chips wanted, which prunes folders and row groups."""
+    c = spark.read.parquet(path)
+    if rows:
+        c = c.where(F.col("chip_band").between(rows[0] // band, rows[1] // band) & F.col("chip_r").between(*rows))
+    return c.drop("chip_band")
+
+
+def same_sources(spark: SparkSession, manifest: str, paths: str) -> bool:
+    """Is a stored manifest of fingerprints still that of its sources? Without a manifest it isn't."""
+    try:
+        old = spark.read.parquet(manifest)
+        return old.exceptAll(now := fingerprints(spark, paths)).isEmpty() and now.exceptAll(old).isEmpty()
+    except AnalysisException:
+        return False
+
+
+def write_manifest(spark: SparkSession, manifest: str, paths: str) -> None:
+    fingerprints(spark, paths).write.mode("overwrite").parquet(manifest)
 
 
 def write_layer(df: DataFrame, path: str) -> None:
@@ -103,10 +159,14 @@ def model_card(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.coalesce("c.feature_dates", "c.training_dates").alias("dates"))
 
 
-def tree_model(path: str) -> tuple[str, list]:
-    """Rule and nodes of a model in the native JSON form: {"rule": ..., "nodes": [[tree, node, feature, threshold, left, right, leaf], ...]}."""
-    from ..operators.trees import Node
+def tree_model(path: str, kind: str = "nodes", classes: list[int] | None = None):
+    """A fitted ensemble from JSON. ``nodes``: (rule, nodes) of the native form {"rule": ..., "nodes": [[tree, node, feature,
+    threshold, left, right, leaf], ...]}; ``boosted``: a gradient-boosted classifier's public model file; ``forest``: a
+    forest export with class weights per node."""
+    from ..operators import trees
 
-    with open(path) as f:
-        m = json.load(f)
-    return m["rule"], [Node(*n) for n in m["nodes"]]
+    text = Path(path).read_text()
+    if kind == "nodes":
+        m = json.loads(text)
+        return m["rule"], [trees.Node(*n) for n in m["nodes"]]
+    return trees.boosted_model(text, classes) if kind == "boosted" else trees.forest_model(text)

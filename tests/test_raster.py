@@ -76,6 +76,71 @@ def test_ensembles_as_expression_and_as_blocks(spark):
     assert T.predict(spark.createDataFrame([(None,)], "f array<double>"), nodes, "f", "sum").first().cls is None
 
 
+def test_forest_averages_class_probabilities(spark):
+    rnd = random.Random(8)
+    nodes = []
+    for t in range(7):
+        nodes += [T.Node(t, 0, rnd.randrange(3), rnd.random(), 1, 2, 0.0), T.Node(t, 1, rnd.randrange(3), rnd.random(), 3, 4, 0.0)]
+        nodes += [T.Node(t, k, -1, 0.0, 0, 0, (p := rnd.random(), 1 - p)) for k in (2, 3, 4)]
+    by = {(n.tree, n.node): n for n in nodes}
+
+    def one(x):
+        total = [0.0, 0.0]
+        for t in range(7):
+            n = by[t, 0]
+            while n.feature >= 0:
+                n = by[t, n.left if x[n.feature] <= n.threshold else n.right]
+            total = [a + b for a, b in zip(total, n.leaf, strict=True)]
+        return 1 if total[0] >= total[1] else 4
+
+    x = [[rnd.random() for _ in range(3)] for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in x], "f array<double>")
+    want = [one(v) for v in x]
+    assert [r.cls for r in T.predict(df, nodes, "f", "mean", classes=(1, 4)).collect()] == want
+    assert [r.c for r in df.select(T.expression(nodes, F.col("f"), "mean", (1, 4)).alias("c")).collect()] == want
+    # one sure tree outweighs two that hardly lean the other way; votes would not see it
+    lean = [T.Node(t, 0, -1, 0.0, 0, 0, p) for t, p in enumerate([(0.95, 0.05), (0.45, 0.55), (0.45, 0.55)])]
+    assert T.ensemble(lean, "mean", (1, 4)).predict(np.zeros((1, 1)))[0] == 1
+    trees = [{"left": [1, -1, -1], "right": [2, -1, -1], "feature": [0, -2, -2], "threshold": [0.5, -2, -2], "value": [[5, 5], [4, 1], [1, 4]]}]
+    forest = T.forest_model(json.dumps({"classes": [7, 9], "trees": trees}))
+    assert forest.predict(np.array([[0.5], [0.6]])).tolist() == [7, 9]
+
+
+def test_large_forest_against_descent():
+    from terrasift.plans.raster_queries import grown
+
+    m = grown(32, 20, 6, 0.1, 0.25)
+    x = np.random.default_rng(3).uniform(0.05, 0.3, (50, 32))
+    for row, got in zip(x, m.predict(x), strict=True):
+        total = np.zeros(2)
+        for n in m.roots:
+            while m.feature[n] >= 0:
+                n = m.left[n] if row[m.feature[n]] <= m.threshold[n] else m.right[n]
+            total += m.value[n]
+        assert got == m.classes[np.argmax(total)]
+
+
+def test_boosted_model_file(tmp_path, spark):
+    tree = {"left_children": [1, -1, -1], "right_children": [2, -1, -1], "split_indices": [1, 0, 0], "split_conditions": [0.1, -0.4, 0.6], "default_left": [1, 0, 0]}
+    other = {"left_children": [-1], "right_children": [-1], "split_indices": [0], "split_conditions": [0.3], "default_left": [0]}
+
+    def model(score):
+        return json.dumps({"learner": {"learner_model_param": {"base_score": score, "num_class": "0"}, "objective": {"name": "binary:logistic"}, "gradient_booster": {"model": {"trees": [tree, other], "tree_info": [0, 0]}}}})
+
+    (tmp_path / "x.json").write_text(model("5E-1"))
+    m = files.tree_model(str(tmp_path / "x.json"), "boosted", [4, 14])
+    at = np.float64(np.float32(0.1))  # equal in single precision: not left
+    assert m.predict(np.array([[0, 0.05], [0, at], [0, 0.2], [0, np.nan]])).tolist() == [4, 14, 14, 4]
+    assert T.boosted_model(model("[0.9]")).predict(np.array([[0, 0.05]])).tolist() == [1]  # -0.1 + logit 0.9
+    many = json.loads(model("0"))
+    many["learner"]["learner_model_param"]["num_class"] = "2"
+    many["learner"]["objective"]["name"] = "multi:softmax"
+    many["learner"]["gradient_booster"]["model"]["tree_info"] = [0, 1]
+    assert T.boosted_model(json.dumps(many)).predict(np.array([[0, 0.05], [0, 0.2]])).tolist() == [1, 0]
+    df = spark.createDataFrame([([0.0, 0.2],), ([0.0, None],), (None,)], "f array<double>")
+    assert [r.cls for r in T.predict(df, m, "f", missing=float("nan")).collect()] == [14, 4, None]
+
+
 def brute_components(cells, conn):
     steps = [(0, 1), (1, 0), (0, -1), (-1, 0)] + ([(1, 1), (1, -1), (-1, 1), (-1, -1)] if conn == 8 else [])
     out = {}
@@ -276,6 +341,7 @@ def test_scalars(spark):
     assert value(S.band_date(F.lit("red_2025_02_30"))) is None and str(value(S.band_date(F.lit("B8_2025_02_03")))) == "2025-02-03"
     assert [value(S.clear_qa(F.lit(q))) for q in (0, 8, 16, 7)] == [True, False, False, True]
     assert value(S.path_spellings(F.lit("C:\\a\\b"))) == ["C:\\a\\b", "/mnt/c/a/b", "/c/a/b"] and value(S.path_spellings(F.lit("rel/x"))) == ["rel/x"]
+    assert value(S.path_spellings(F.lit("/mnt/c/a/b"))) == ["/mnt/c/a/b", "C:\\a\\b"] and value(S.path_spellings(F.lit("/c/a"))) == ["/c/a", "C:\\a"]
     assert value(S.clean_path(F.lit("  r'C:\\x' "))) == "C:\\x"
     assert value(S.gap_mask(F.array(F.lit(1.0), F.lit(None).cast("double"), F.lit(2.0)))) == 5
     assert value(S.landsat_scaled(F.lit(0))) == 0
@@ -291,6 +357,101 @@ def test_pixel_estimate_is_near_the_count(spark):
         assert 0.95 < r.n_px / area[r.poly] <= 1
 
 
+def test_a_bow_tie_is_two_triangles(spark):
+    from terrasift.operators.vector import simple_rings
+
+    got = simple_rings([(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)])
+    area = [abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:], strict=False))) / 2 for r in got]
+    assert sorted(area) == [1.0, 1.0] and all(r[0] == r[-1] for r in got)
+    assert simple_rings([(0, 0), (1, 1), (0, 0)]) == [] and len(simple_rings([(0, 0), (1, 0), (1, 1), (0, 1)])) == 1
+    rings = spark.createDataFrame([(1, 0, k, float(x), float(y)) for k, (x, y) in enumerate([(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)])], "poly int, ring int, seq int, x double, y double")
+    assert V.repaired(rings).select("ring").distinct().count() == 2
+
+
+def test_clip_to_boxes_keeps_the_area(spark):
+    from terrasift.plans.raster_queries import aoi_rings
+
+    boxes = spark.createDataFrame([(i * 10 + j, 20.0 * i, 20.0 * j, 20.0 * i + 20, 20.0 * j + 20) for i in range(5) for j in range(5)], "box long, x0 double, y0 double, x1 double, y1 double")
+    got = V.clipped_rings(aoi_rings(spark), boxes)
+    parts = got.groupBy("poly", "box", "ring").agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("p")).collect()
+    area = {}
+    for r in parts:
+        q = [(p.x, p.y) for p in r.p]
+        assert q[0] == q[-1] and all(20 * (r.box // 10) - 1e-9 <= x <= 20 * (r.box // 10) + 20 + 1e-9 for x, _ in q)
+        area[r.poly] = area.get(r.poly, 0) + sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(q, q[1:], strict=False)) / 2
+    want = {r.poly: r.area for r in V.ring_area(aoi_rings(spark)).collect()}
+    assert {k: round(abs(v), 6) for k, v in area.items()} == {k: round(v, 6) for k, v in want.items()}
+    assert V.clipped_rings(aoi_rings(spark), boxes.limit(0)).count() == 0
+
+
+def test_chip_files_and_areas_round_trip(spark, tmp_path):
+    px = spark.createDataFrame([(r, c, r % 3) for r in range(20) for c in range(9)], "row int, col int, cls int")
+    files.write_chips(C.to_chips(px, ["cls"], 4), str(tmp_path / "chips"), band=2)
+    back = files.read_chips(spark, str(tmp_path / "chips"), band=2)
+    assert rows(C.from_chips(back, ["cls"], 4)) == rows(px)
+    some = files.read_chips(spark, str(tmp_path / "chips"), (1, 2), 2)
+    assert {r.row // 4 for r in C.from_chips(some, ["cls"], 4).collect()} == {1, 2}
+    rings = spark.createDataFrame([(1, 0, k, x, y) for k, (x, y) in enumerate([(0.0, 0.0), (3.0, 0.0), (3.0, 6.0), (0.0, 0.0)])], "poly int, ring int, seq int, x double, y double")
+    assert {(r.chip_r, r.chip_c) for r in V.chips_near(back, rings, 4).collect()} == {(0, 0), (1, 0)}
+    comp = C.component_chips(back, "cls", 4, 4)
+    layer = C.polygonise_chips(comp, "cls", 0.0, 0.0, 1.0, 4).select(F.col("cls").alias("predicted"), F.lit(1.0).alias("area_acres"), F.col("wkb").alias("geometry"))
+    files.write_layer(layer, str(tmp_path / "aoi.parquet"))
+    area = V.ring_area(files.areas(spark, str(tmp_path / "aoi.parquet")))
+    assert sum(r.area for r in area.collect()) == 180
+    with pytest.raises(NotImplementedError):
+        files.areas(spark, "x.kml")
+    m = str(tmp_path / "manifest")
+    (tmp_path / "s.txt").write_text("a")
+    assert not files.same_sources(spark, m, str(tmp_path / "s.txt"))
+    files.write_manifest(spark, m, str(tmp_path / "s.txt"))
+    assert files.same_sources(spark, m, str(tmp_path / "s.txt"))
+    (tmp_path / "s.txt").write_text("b")
+    assert not files.same_sources(spark, m, str(tmp_path / "s.txt"))
+
+
+def test_presets(spark):
+    from terrasift.sources import presets
+
+    jobs = spark.createDataFrame([("wheat", "2024"), (None, "2024")], "crop string, year string")
+    assert [str(r.series_start) for r in presets.with_series(jobs, spark, "crop", "year").orderBy("crop").collect()] == ["None", "2023-08-24"]
+    with pytest.raises(Exception, match="unknown crop tulips, known ones: cane"):
+        presets.with_series(jobs.union(spark.createDataFrame([("tulips", "2024")], jobs.schema)), spark, "crop", "year").collect()
+    assert presets.windows(spark, "sindh").where("crop = 'wheat'").count() == 3 and presets.windows(spark).where("crop = 'wheat'").count() == 4
+    with pytest.raises(ValueError, match="punjab"):
+        presets.windows(spark, "nowhere")
+    days = [str(r.day) for r in presets.pinned_dates(spark, 2025).collect()]
+    assert len(days) == 35 and days[0] == "2025-04-01" and days[-1] == "2025-12-29"
+
+
+def test_stages_one_after_another(spark):
+    from terrasift.plans import stages
+
+    cells = "1111111111 1111411111 1111111111 44444.4444 4444444444"
+    px = grid(spark, cells)
+    chips = stages.cleaned(px, [1], 3, 4, 4)
+    assert picture(C.from_chips(chips, ["sieved"], 4), "sieved") == cells.replace("11114111", "11111111")
+    layer = stages.outlined(chips, [1], 3015, 73.0, 31.0, 1e-3, 42, 0.5, 4)
+    (one,) = layer.collect()
+    assert one.predicted == 3015 and abs(one.area_acres - 30 * 1e-6 * 111_000 * 95_500 * S.ACRES_PER_M2) < 5
+    report = stages.assessed(layer, chips, px, [1], 4).first()
+    assert (report.ndvi_px, report.static_px, report.n_polygons) == (30, 29, 1) and report.warning is None
+    with pytest.raises(Exception, match="no pixel has data"):
+        stages.cleaned(px.withColumn("cls", F.lit(None).cast("int")), [1], 3)
+
+
+def test_long_gap_masks(spark):
+    long = spark.createDataFrame([([1.0] + [None] * 69,)], "s array<double>")
+    assert long.select(S.gap_pattern(F.col("s")).alias("m")).first().m == "1" + "0" * 69
+    with pytest.raises(Exception, match="63 values"):
+        long.select(S.gap_mask(F.col("s"))).collect()
+
+
+def test_red_edge_comes_from_raw_bands(spark):
+    dn = lambda v: F.lit((v / 10000 + 0.2) / 0.0000275)
+    r = spark.range(1).select(S.harmonised(dn(100), dn(200), dn(-500), dn(1000.5)).alias("b")).first().b
+    assert (r.red, r.nir, r.red_edge, r.ndvi) == (0, 1000, 250, 29980)
+
+
 def test_files(spark, tmp_path):
     sq = [[[0, 0], [2, 0], [2, 2], [0, 0]]]
     (tmp_path / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [{"geometry": {"type": "MultiPolygon", "coordinates": [sq, sq]}}, {"geometry": {"type": "Point", "coordinates": [1, 2]}}]}))
