@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .scan import carry
 
 
@@ -22,7 +23,7 @@ def periods_and_gaps(df: DataFrame, key: str, start: str, end: str, shard_width:
     """
     k, s, e = F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e")
     iv = df.select(k, s, e).where("_k is not null and _s is not null and _e > _s").groupBy("_k", "_s").agg(F.max("_e").alias("_e"))
-    iv = iv.withColumn("_shard", F.floor(F.col("_s") / shard_width).cast("long"))
+    iv = stored(iv.withColumn("_shard", F.floor(F.col("_s") / shard_width).cast("long")), "intervals")  # read four times
     ends = carry(iv.groupBy("_k", "_shard").agg(F.max("_e").alias("_mx")), ["_k"], "_shard", {"_in": ("max", "_mx")}).drop("_mx")
     w = Window.partitionBy("_k", "_shard").orderBy("_s")
     seen = F.greatest(F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_in"))
