@@ -324,22 +324,27 @@ def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for c, a, b in _blocks(batches):
         rn = c["rn"][a:b]
         core = rn // BLOCK == c["block"][a]
-        head = c["head"][a + int(np.flatnonzero(core)[0])].as_py()
+        head = c["head"][a + int(np.flatnonzero(core)[0])].values
+        head = None if head is None else head.to_numpy()
+        place = 0
         ids, metric, reason = [], [], []
         for k, m in enumerate(METRICS):
             x, there, wrong = _readings(c, a, b, m)
-            h = (head or {}).get(f"h{k}")
             own = np.flatnonzero(there & core)
             v = x[own]
-            before, after = (h["before"] if len(v) and v[0] == h["prev"] else 0, h["after"]) if h else (0, 0)
-            if h and len(v) and not (v != v[0]).any():  # one stretch
+            before = after = 0
+            s = None
+            if head is not None:
+                prev, before, after, n = head[place : place + 4]
+                before, after, n = int(before) if len(v) and v[0] == prev else 0, int(after), int(n)
+                at = np.flatnonzero(there & ~wrong)
+                s = head[place + 4 : place + 4 + n][rn[at] % n] if n else np.zeros(len(at))
+                place += 4 + n
+            if len(v) and not (v != v[0]).any():  # one stretch
                 before, after = before + after, 0
             stuck = np.zeros(len(x), bool)
-            stuck[own] = still(v, before or 0, after or 0)
+            stuck[own] = still(v, before, after)
             at = np.flatnonzero(there & ~wrong)
-            s = np.zeros(len(at)) if h else None
-            if h and h["season"]:
-                s = np.array(h["season"])[rn[at] % len(h["season"])]
             off = np.zeros(len(x), bool)
             off[at] = departures(x[at], COUNTERS[m], rn[at], s)
             for why, hit in (("range", wrong), ("still", stuck), ("departure", off)):
@@ -447,5 +452,9 @@ def find(samples: DataFrame, hosts: DataFrame) -> DataFrame:
         mids = mid.groupBy(*source).agg(F.map_from_entries(F.collect_list(F.struct("phase", "m"))).alias("by"), F.median("m").alias("mm")).join(periods, source)
         seasons = mids.select(*source, F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: F.coalesce(F.element_at("by", i.cast("long")), F.col("mm")) - F.col("mm")).alias("season"))
         c = c.join(seasons, source, "left")
-    heads = c.groupBy("run_id", "block").agg(*_per_metric(F.struct("prev", "before", "after", "season"), "h")).select("run_id", "block", F.struct(*(f"h{k}" for k in range(len(METRICS)))).alias("head"))
+    # one flat list per block, since a nested column costs the conversion of every row: previous value, readings before and after, length of the season, season
+    none = F.array().cast("array<double>")
+    own_season = F.coalesce("season", none)
+    info = F.concat(F.array(F.coalesce("prev", F.lit(float("nan"))), F.coalesce("before", F.lit(0)).cast("double"), F.coalesce("after", F.lit(0)).cast("double"), F.size(own_season).cast("double")), own_season)
+    heads = c.groupBy("run_id", "block").agg(*_per_metric(info, "h")).select("run_id", "block", F.concat(*(f"h{k}" for k in range(len(METRICS)))).alias("head"))
     return cut.join(heads, ["run_id", "block"], "left").select(*every, head).sortWithinPartitions(*keys).mapInArrow(_flags, SCHEMA)
